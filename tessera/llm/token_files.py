@@ -14,56 +14,81 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import rows_to_batches
+from tessera.llm.pretoken import splitter
 
 #: Bytes of frames, and documents, after which a shard ends.
 SHARD_BYTES, SHARD_DOCS = 1 << 20, 16384
 #: The dictionary: documents it is trained on at most, their ids taken at most, its bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 1000, 20_000, 64 << 10
 #: Largest tokenizer file that is broadcast, and words remembered between documents.
-MAX_TOKENIZER_BYTES, MEMORY_WORDS = 64 << 20, 400_000
+MAX_TOKENIZER_BYTES, MEMORY_WORDS = 64 << 20, 250_000
 LEVEL = 3
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that byte-level vocabularies write each byte as: printable Latin-1 as
+    it is, the other bytes in order from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _KnownWords(dict):
+    """Ids (32-bit, packed) by word; a word that isn't known yet is encoded."""
+
+    def __init__(self, tokenize):
+        super().__init__()
+        self.tokenize = tokenize
+        self.characters = _byte_characters()
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            written = word.replace(" ", "\u0120")
+        else:
+            written = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.characters)
+        self[word] = ids = array("I", [t.id for t in self.tokenize(written)]).tobytes()
+        return ids
+
+
 class WordEncoder:
     """Ids of texts by a tokenizers file, each distinct word encoded once while it is
     remembered. Words are the matches of the byte-level split pattern, within which all
-    merges happen, so a text's ids are its words' ids in a row."""
+    merges happen, so a text's ids are its words' ids in a row. A tokenizer that isn't
+    byte-level, or normalizes, encodes texts as a whole."""
 
     def __init__(self, tokenizer_json: str, pattern: str | None):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.find = regex.compile(pattern).findall if pattern else None
-        self.known: dict[str, np.ndarray] = {}
+        split = self.tokenizer.pre_tokenizer
+        by_word = pattern and self.tokenizer.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space
+        self.find = splitter(pattern) if by_word else None
+        if by_word:
+            model = self.tokenizer.model
+            model._resize_cache(0)  # words are remembered here
+            self.known = _KnownWords(model.tokenize)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if self.find is None:
-            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [self.find(t) for t in texts]
+            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > MEMORY_WORDS:
-            self.known = {}
-        new = list({w for words in split for w in words if w not in self.known})
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = found.ids
-        known = self.known
-        return [np.array([i for w in words for i in known[w]], np.uint32) for words in split]
+            self.known.clear()
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, self.find(t))), np.uint32) for t in texts]
 
 
 @lru_cache(maxsize=2)
@@ -83,7 +108,7 @@ def serialize(ids: np.ndarray, width: int) -> bytes:
     return ids.astype(f"<u{width}").tobytes()
 
 
-def _batches_of(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:
+def _batches_of(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of slices of a batch that hold about `size` characters."""
     first, held, chars = 0, [], 0
     for at, text in enumerate(batch.column(column)):
