@@ -1,17 +1,20 @@
 """Byte-level BPE over a global shuffle of distinct words.
 
-Encoding, in three passes over the rows that one scan makes:
+Encoding:
 
 1. explode: pre-tokens of each document with their positions. A task packs its
    documents into blocks of about BLOCK_BYTES of text; within a block every distinct
-   word is written once, next to the slot that the block's position lists use for it.
-   Only packed, compressed rows leave the task, so a word that fills a third of the
-   corpus costs one entry a block.
-2. encode: block words are shuffled by word (in hash buckets). All entries of a word
-   meet in one task, which encodes the word once and answers every block.
+   word has a slot, which the block's position lists refer to. Only packed, compressed
+   rows leave a task, so a word that fills a third of the corpus costs one entry a block.
+2. encode: the blocks' words are shuffled by word (in hash buckets). All entries of a
+   word meet in one task, which encodes the word once and answers every block.
 3. reassemble: answers and position lists meet by block, and each document's ids are
    gathered by position.
 
+Words and position lists come from a scan each, so that the position lists, most of the
+bytes, are shuffled once. Both scans see the same blocks as long as the input reads the
+same way twice; each block's word checksum is compared to make sure.
+
 Decoding joins ids with the token-byte table. That table is as large as the
 vocabulary file, whose size is checked before it is broadcast.
 """
@@ -20,21 +23,21 @@ from __future__ import annotations
 
 import base64
 import os
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import xor
 from pathlib import Path
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import rows_to_batches
-from zlib import crc32
+from tessera.llm.pretoken import splitter
 
 #: UTF-8 bytes of text after which a block ends.
 BLOCK_BYTES = 16 << 20
@@ -88,22 +91,22 @@ def _slots(codes: np.ndarray, base: int) -> np.ndarray:
     return np.where(new, base + np.cumsum(new) - 1, codes.astype(np.int64) - 1)
 
 
-_ROW = "key bigint, kind int, block bigint, first bigint, slots binary, counts binary, payload binary, ids array<{id}>"
+_ROW = "key bigint, kind int, block bigint, first bigint, check bigint, slots binary, counts binary, payload binary, ids array<{id}>"
 
 
 def _schema(id_type: pa.DataType) -> pa.Schema:
-    return pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary()), ("payload", pa.binary()), ("ids", pa.list_(id_type))])
+    return pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("check", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary()), ("payload", pa.binary()), ("ids", pa.list_(id_type))])
 
 
 def _weigh(row: tuple) -> int:
-    return 64 + sum(len(x) for x in row[4:7]) + 8 * len(row[7])
+    return 64 + sum(len(x) for x in row[5:8]) + 8 * len(row[8])
 
 
 class _Block:
-    """The words of one block and the position lists of its documents."""
+    """The words of one block, or the position lists of its documents."""
 
-    def __init__(self, number: int):
-        self.number = number
+    def __init__(self, number: int, kind: int):
+        self.number, self.kind = number, kind
         self.size = 0
         self.words: dict[str, int] = defaultdict()
         self.words.default_factory = self.words.__len__
@@ -114,48 +117,61 @@ class _Block:
         self.first, self.ids, self.counts, self.slots, self.chunk = len(self.words), [], [], [], 0
 
     def add(self, doc_id, tokens: list[str], size: int):
+        self.size += size
+        slots = map(self.words.__getitem__, tokens)
+        if self.kind == WORDS:
+            deque(slots, maxlen=0)
+            return
         self.ids.append(doc_id)
         self.counts.append(len(tokens))
-        self.slots.append(np.fromiter(map(self.words.__getitem__, tokens), np.uint32, len(tokens)))
-        self.size += size
+        self.slots.append(np.fromiter(slots, np.uint32, len(tokens)))
         self.chunk += size
         if self.chunk >= CHUNK_BYTES:
             self._end_chunk()
 
     def _end_chunk(self):
         codes = _repeats(np.concatenate(self.slots), self.first)
-        key = crc32(b"%d %d" % (self.number, len(self.rows)))
-        self.rows.append((key, DOCS, self.number, self.first, _pack(codes), _pack(np.array(self.counts, np.uint32)), b"", self.ids))
+        self.rows.append((self.first, _pack(codes), _pack(np.array(self.counts, np.uint32)), self.ids))
         self._start()
 
     def finish(self, buckets: int) -> Iterator[tuple]:
-        if self.ids:
-            self._end_chunk()
-        yield from self.rows
-        found: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+        if self.kind == DOCS:
+            if self.ids:
+                self._end_chunk()
+            check = reduce(xor, (_checksum(w.encode("utf-8", "surrogatepass"), slot) for w, slot in self.words.items()), 0)
+            for first, slots, counts, ids in self.rows:
+                yield 0, DOCS, self.number, first, check, slots, counts, b"", ids
+            return
+        found: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
         for word, slot in self.words.items():
             data = word.encode("utf-8", "surrogatepass")
-            words, slots = found[crc32(data) % buckets]
-            words.append(data)
-            slots.append(slot)
-        for bucket, (words, slots) in found.items():
+            found[crc32(data) % buckets].append((data, slot))
+        for bucket, entries in found.items():
+            words = [w for w, _ in entries]
             blob = zstandard.ZstdCompressor(level=3).compress(b"".join(words))
-            yield bucket, WORDS, self.number, 0, _pack(_deltas(np.array(slots, np.uint32))), _pack(np.fromiter(map(len, words), np.uint32, len(words))), blob, []
+            check = reduce(xor, (_checksum(w, slot) for w, slot in entries), 0)
+            slots = np.array([slot for _, slot in entries], np.uint32)
+            yield bucket, WORDS, self.number, 0, check, _pack(_deltas(slots)), _pack(np.fromiter(map(len, words), np.uint32, len(words))), blob, []
+
+
+def _checksum(word: bytes, slot: int) -> int:
+    return crc32(word, slot & 0xFFFFFFFF)
 
 
-def _explode(pattern: str, buckets: int, block_bytes: int, schema: pa.Schema):
+def _explode(kind: int, pattern: str, buckets: int, block_bytes: int, schema: pa.Schema):
     def rows(batches):
-        find = regex.compile(pattern).findall
-        part = TaskContext.get().partitionId() << 32
-        block = _Block(part)
+        find = splitter(pattern)
+        block = None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc_id, text, part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                block = block or _Block(part << 32, kind)
                 text = text.as_py() or ""
                 block.add(doc_id, find(text), len(text))
                 if block.size >= block_bytes:
                     yield from block.finish(buckets)
-                    block = _Block(block.number + 1)
-        yield from block.finish(buckets)
+                    block = _Block(block.number + 1, kind)
+        if block:
+            yield from block.finish(buckets)
 
     return lambda batches: rows_to_batches(rows(batches), schema, _weigh)
 
@@ -166,9 +182,6 @@ def _encode_words(pattern: str, ranks, schema: pa.Schema):
         bucket, known = None, {}
         for batch in batches:
             for row in batch.to_pylist():
-                if row["kind"] == DOCS:
-                    yield tuple(row.values())
-                    continue
                 if row["key"] != bucket:
                     bucket, known = row["key"], {}
                 ends = np.cumsum(_unpack(row["counts"])).tolist()
@@ -181,7 +194,7 @@ def _encode_words(pattern: str, ranks, schema: pa.Schema):
                     ids.append(known[word])
                 counts = np.fromiter(map(len, ids), np.uint32, len(ids))
                 flat = np.fromiter((i for word in ids for i in word), np.uint32, int(counts.sum()))
-                yield row["block"], WORDS, row["block"], 0, row["slots"], _pack(counts), _pack(flat), []
+                yield row["block"], WORDS, row["block"], 0, row["check"], row["slots"], _pack(counts), _pack(flat), []
 
     return lambda batches: rows_to_batches(rows(batches), schema, _weigh)
 
@@ -199,10 +212,13 @@ def _reassemble(schema: pa.Schema):
         for batch in batches:
             for row in batch.to_pylist():
                 if row["block"] != block:
-                    block, parts, table = row["block"], [], None
+                    block, parts, table, check = row["block"], [], None, 0
                 if row["kind"] == WORDS:
+                    check ^= row["check"]
                     parts.append((np.cumsum(_unpack(row["slots"]), dtype=np.uint32), _unpack(row["counts"]), _unpack(row["payload"])))
                     continue
+                if check != row["check"]:
+                    raise RuntimeError("the input did not read the same way twice; write it to a table first")
                 if table is None:
                     table = _table(parts)
                     parts = []
@@ -241,14 +257,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"))
+    source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"), F.spark_partition_id().alias("part__"))
     kind = source.schema[0].dataType
     packed, ddl = _schema(to_arrow_type(kind)), _ROW.format(id=kind.simpleString())
     ranks = spark.sparkContext.broadcast(load_ranks(vocabulary))
-    exploded = source.mapInArrow(_explode(pattern, buckets, block_bytes, packed), ddl)
-    encoded = exploded.repartition("key").sortWithinPartitions("key").mapInArrow(_encode_words(pattern, ranks, packed), ddl)
+    exploded = lambda kind: source.mapInArrow(_explode(kind, pattern, buckets, block_bytes, packed), ddl)
+    encoded = exploded(WORDS).repartition("key").sortWithinPartitions("key").mapInArrow(_encode_words(pattern, ranks, packed), ddl)
     result = pa.schema([(id_col, to_arrow_type(kind)), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-    return encoded.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_reassemble(result), f"`{id_col}` {kind.simpleString()}, n_tokens bigint, ids binary")
+    return encoded.unionByName(exploded(DOCS)).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_reassemble(result), f"`{id_col}` {kind.simpleString()}, n_tokens bigint, ids binary")
 
 
 def token_table(spark: SparkSession, vocabulary: str) -> DataFrame:
