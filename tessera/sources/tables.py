@@ -44,7 +44,7 @@ def exists(spark: SparkSession, root: str, name: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
-def write_csv(df: DataFrame, path: str, order: list[str], single_file: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, order: list, single_file: bool = True) -> None:
     """Ordered CSV with a header; empty strings stay empty, quotes are doubled."""
     flat = df.select(*[json_value(F.col(f.name)).alias(f.name) if f.dataType.typeName() in ("array", "struct") else F.col(f.name) for f in df.schema])
     ordered = flat.orderBy(*order)
