@@ -22,7 +22,7 @@ SPACE = " \t\n\v\f\r"
 #: The hard rules of the base: too few words, or too many within repeated windows.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Soft rules, in percent: symbols to words, repeated lines to lines; mean word length.
-MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT = 30, 30
+MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT = 20, 30
 MIN_MEAN_CHARS, MAX_MEAN_CHARS = 2, 15
 #: A host whose shrunk failure rate reaches this is judged without the slack below.
 STRICT_RATE = 0.5

@@ -18,22 +18,30 @@ RATIO, MIN_PAGES = 0.1, 5
 #: Copies of each host's list, so that a host with a third of all pages is dealt to as many tasks.
 SALTS = 32
 
+#: What a page's source loses, in order: scripts, styles and comments, block tags, other tags.
+PAGE_RULES = (
+    (r"(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>|<!--.*?-->", ""),
+    (r"(?i)</?(?:p|br|div|li|ul|ol|nav|article|h[1-6]|tr|table|title|head|body|header|footer|section)\b[^>]*>", "\n"),
+    (r"<[^>]*>", ""),
+)
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+LINE_BREAK, OUTER_SPACE = r"[ \t\r\x0B\x0C]*\n[ \t\r\x0B\x0C\n]*", r"^[ \t\r\x0B\x0C\n]+|[ \t\r\x0B\x0C\n]+$"
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+
 
 def html_text(html: Column) -> Column:
     """Text of a page: scripts, styles, comments and tags go, block tags end a line."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", "")
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?i)</?(p|br|div|li|ul|ol|nav|article|h[1-6]|tr|table|title|head|body|header|footer|section)\b[^>]*>", "\n")
-    text = F.regexp_replace(text, r"<[^>]*>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+    text = html
+    for pattern, by in PAGE_RULES:
+        text = F.regexp_replace(text, pattern, by)
+    for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(text, r"[ \t\r\x0B\x0C]*\n[ \t\r\x0B\x0C]*", "\n")
-    return F.regexp_replace(F.regexp_replace(text, r"\n+", "\n"), r"^[ \t\r\x0B\x0C\n]+|[ \t\r\x0B\x0C\n]+$", "")
+    return F.regexp_replace(F.regexp_replace(text, LINE_BREAK, "\n"), OUTER_SPACE, "")
 
 
 def url_host(url: Column) -> Column:
     """Lower-case host of a URL; '' where there is none."""
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
 
 
 def _digest(line: Column) -> Column:
@@ -70,16 +78,18 @@ def drop_boilerplate(pages: DataFrame, text_col: str, host: Column, ratio: float
     text = F.col(f"`{text_col}`")
     lines = F.split(text, "\n", -1)
     boiler = staged(boilerplate_lines(pages.select(host.alias("host"), F.coalesce(lines, F.array()).alias("lines")), ratio, min_pages), "boilerplate")
-    salted = boiler.select("host", "boiler", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = boiler.select(F.col("host").alias("host__"), F.col("boiler").alias("boiler__"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt__"))
     row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row__")
     salt = F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")
-    joined = pages.select(row, host.alias("host"), salt.alias("salt")).join(salted, ["host", "salt"], "left")
+    joined = pages.select(row, host.alias("host__"), salt.alias("salt__")).join(salted, ["host__", "salt__"], "left").select("row__", "boiler__")
     text = F.col(f"row__.`{text_col}`")
     lines = F.split(text, "\n", -1)
-    keep = F.filter(lines, lambda line: ~_has_word(line) | ~F.array_contains("boiler", _digest(line)))
-    out = [(F.when(F.col("boiler").isNull(), text).otherwise(F.array_join(keep, "\n")) if c == text_col else F.col(f"row__.`{c}`")).alias(c) for c in pages.columns]
+    keep = F.filter(lines, lambda line: ~_has_word(line) | ~F.array_contains("boiler__", _digest(line)))
+    joined = joined.select("row__", "boiler__", F.when(F.col("boiler__").isNotNull(), keep).alias("kept__"))
+    none = F.col("boiler__").isNull()
+    out = [(F.when(none, text).otherwise(F.array_join("kept__", "\n")) if c == text_col else F.col(f"row__.`{c}`")).alias(c) for c in pages.columns]
     if dropped_col:
-        out.append(F.coalesce(F.when(F.col("boiler").isNull(), 0).otherwise(F.size(lines) - F.size(keep)), F.lit(0)).cast("long").alias(dropped_col))
+        out.append(F.coalesce(F.when(none, 0).otherwise(F.size(lines) - F.size("kept__")), F.lit(0)).cast("long").alias(dropped_col))
     if lines_col:
         out.append(F.coalesce(F.size(F.filter(lines, _has_word)), F.lit(0)).cast("long").alias(lines_col))
     return joined.select(*out)

@@ -179,7 +179,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         return fallback
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)
     part = F.when(F.col("label__") == 1, min(1.0, max_rows / 2 / counts[1])).otherwise(min(1.0, max_rows / 2 / counts[0]))
-    drawn = known.where(draw < part)
+    # twice the expected number bounds what is broadcast, so that no text but the sample's moves
+    drawn = F.broadcast(known.where(draw < part).orderBy(draw, id_col).limit(2 * max_rows))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).cast("string").alias("text__"))
     sample = staged(texts.join(drawn, id_col).groupBy("text__").agg(F.max("label__").alias("label__")), "labelled")
     n = {r[0]: r[1] for r in sample.groupBy("label__").count().collect()}
