@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, host_quality, langid, license_scan, line_dedup, mixing, simhash, token_files, topk, toxicity
-from tessera.llm.common import WORD, read_table, scratch_path, unsigned_crc32
+from tessera.llm.common import WORD, read_table, scratch_path, staged, unsigned_crc32
 
 #: Mixing: tokens of the mix per token of the corpus, epochs, and integer weights by level.
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 4), 4, 42
@@ -79,8 +79,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text lines of every page without the boilerplate of its host."""
+    """Text lines of every page without the boilerplate of its host. The text is taken out
+    of the pages' source once and stored, as it is read twice."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", line_dedup.url_host(F.col("url")).alias("host"), line_dedup.html_text(F.col("html")).alias("text"))
+    pages = staged(pages, "page_text")
     return line_dedup.drop_boilerplate(pages, "text", F.col("host"), dropped_col="n_dropped", lines_col="n_lines")
 
 
