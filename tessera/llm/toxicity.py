@@ -3,8 +3,8 @@
 Folding lower-cases, takes accents off, and maps homoglyphs and digit or sign
 substitutions to the letters they stand for. Matches count at word boundaries, unless
 they lie within an exception phrase. The sum of their weights is normalised by length,
-and a logistic curve turns it into a score. Weights of the seed terms, further terms and
-the curve are learned from labelled rows.
+and a logistic curve turns it into a score. Weights of the seed terms, further terms (words and beginnings
+of words) and the curve are learned from labelled rows.
 """
 
 from __future__ import annotations
@@ -20,11 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import staged
+from tessera.llm.simhash import keep_one_per_group, near_duplicate_groups
 
 #: Labelled rows that training reads at most (in expectation), half of each label.
 MAX_TRAINING_ROWS = 6000
-#: Learned terms at most, the toxic rows a term must be in, and the least log odds and z-score.
-MAX_TERMS, MIN_ROWS, MIN_ODDS, MIN_Z = 500, 8, 2.0, 5.0
+#: Learned terms at most; a term must be in so many toxic rows and in such a part of them,
+#: and reach the log odds and the z-score.
+MAX_TERMS, MIN_ROWS, MIN_PART, MIN_ODDS, MIN_Z = 500, 8, 0.01, 2.5, 6.0
+#: Lengths of the word beginnings that are learned beside whole words; written with a '*'.
+STEMS = (4, 5, 6, 7)
 
 SEED_WORDS = (
     "idiot idiots moron morons imbecile cretin stupid dumb dumbass fool loser losers clown scum trash garbage filth vermin"
@@ -94,22 +98,31 @@ class ToxicityModel:
 
             a = ahocorasick.Automaton()
             for phrase in self.exceptions:
-                a.add_word(phrase, (len(phrase), None))
+                a.add_word(phrase, (len(phrase), None, None))
             for term, weight in self.weights.items():
-                a.add_word(term, (len(term), weight))
+                text = term.removesuffix("*")
+                _, whole, stem = a.get(text, (0, None, None))
+                a.add_word(text, (len(text), *((whole, weight) if text != term else (weight, stem))))
             a.make_automaton()
             self._automaton = a
         return self._automaton
 
     def matches(self, folded: str) -> list[tuple[int, int, float]]:
-        """(start, end, weight) at word boundaries, outside of exception phrases."""
-        found, spared, n = [], [], len(folded)
-        for last, (size, weight) in self.automaton().iter(folded) if len(self.automaton()) else ():
+        """(start, end, weight) outside of exception phrases. Terms count at word boundaries,
+        beginnings where a word begins; of several from one place the heaviest counts."""
+        found, spared, n = {}, [], len(folded)
+        exceptions = set(self.exceptions)
+        for last, (size, whole, stem) in self.automaton().iter(folded) if len(self.automaton()) else ():
             start, end = last - size + 1, last + 1
-            if (start and folded[start - 1].isalnum()) or (end < n and folded[end].isalnum()):
+            if start and folded[start - 1].isalnum():
                 continue
-            (spared if weight is None else found).append((start, end, weight))
-        return [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in spared)]
+            inside = end < n and folded[end].isalnum()
+            if not inside and folded[start:end] in exceptions:
+                spared.append((start, end))
+            weights = [w for w in (None if inside else whole, stem) if w is not None]
+            if weights and max(weights) > found.get(start, (0, -1.0))[1]:
+                found[start] = end, max(weights)
+        return [(start, end, w) for start, (end, w) in sorted(found.items()) if not any(a <= start and end <= b for a, b in spared)]
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         """Weight of matches a word, log of 1 + weight, and whether any matched."""
@@ -142,21 +155,27 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float = 0.0
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:
-    """(term, n_toxic, n_clean) over distinct folded words of each sampled text."""
+    """(term, n_toxic, n_clean) over distinct folded words and word beginnings of each text."""
 
     @F.pandas_udf("array<string>")
-    def words(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(set(re.findall(r"[^\W\d_]{3,}", fold(t)))))
+    def terms(texts: pd.Series) -> pd.Series:
+        def of(text):
+            words = set(re.findall(r"[^\W\d_]{3,}", fold(text)))
+            return sorted(words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
 
-    each = sample.select("label__", F.explode(words("text__")).alias("term"))
+        return texts.map(of)
+
+    each = sample.select("label__", F.explode(terms("text__")).alias("term"))
     return each.groupBy("term").agg(F.sum("label__").alias("n_toxic"), F.sum(1 - F.col("label__")).alias("n_clean"))
 
 
 def learn_weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     """Log odds of terms, seeds and learned ones; at most MAX_TERMS learned terms."""
     odds = F.log((F.col("n_toxic") + 0.5) / (toxic - F.col("n_toxic") + 0.5)) - F.log((F.col("n_clean") + 0.5) / (clean - F.col("n_clean") + 0.5))
-    scored = counts.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("n_toxic") + 0.5) + 1 / (F.col("n_clean") + 0.5)))
-    learned = scored.where((F.col("n_toxic") >= MIN_ROWS) & (F.col("odds") >= MIN_ODDS) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "term").limit(MAX_TERMS)
+    toxic_part, clean_part, part = F.col("n_toxic") / toxic, F.col("n_clean") / clean, (F.col("n_toxic") + F.col("n_clean")) / (toxic + clean)
+    z = (toxic_part - clean_part) / F.sqrt(part * (1 - part) * (1 / toxic + 1 / clean) + 1e-12)
+    scored = counts.withColumn("odds", odds).withColumn("z", z)
+    learned = scored.where((F.col("n_toxic") >= max(MIN_ROWS, MIN_PART * toxic)) & (F.col("odds") >= MIN_ODDS) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "term").limit(MAX_TERMS)
     weights = {term: 1.5 for term in seed_terms()}
     seen = scored.where(F.col("term").isin(list(weights)) & (F.col("n_toxic") + F.col("n_clean") >= MIN_ROWS))
     for row in seen.collect():
@@ -168,7 +187,7 @@ def learn_weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
     """Learn from a sample of labelled rows, about max_rows / 2 of each label, drawn by a
-    hash of the id; copies of a text count once. Rows with a null id, text or label, and
+    hash of the id; copies and near copies of a text count once. Rows with a null id, text or label, and
     labels other than 0 and 1, teach nothing. Without rows of both labels the seed terms
     keep their weights, and a curve that asks for one match in about twenty words.
     """
@@ -182,7 +201,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     # twice the expected number bounds what is broadcast, so that no text but the sample's moves
     drawn = F.broadcast(known.where(draw < part).orderBy(draw, id_col).limit(2 * max_rows))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).cast("string").alias("text__"))
-    sample = staged(texts.join(drawn, id_col).groupBy("text__").agg(F.max("label__").alias("label__")), "labelled")
+    sample = staged(texts.join(drawn, id_col).groupBy("text__").agg(F.max("label__").alias("label__"), F.min(id_col).alias("id__")), "labelled")
+    sample = staged(keep_one_per_group(sample, near_duplicate_groups(sample, "id__", "text__"), "id__"), "distinct")
     n = {r[0]: r[1] for r in sample.groupBy("label__").count().collect()}
     if len(n) < 2:
         return fallback
