@@ -433,3 +433,95 @@ def summary_counts(spark, d):
 def review_statistics(spark, d):
     entries = t.table(spark, d, "part").where("p_partkey % 2 = 0").select(F.expr("concat('p', p_partkey)").alias("pic"), F.expr("case when p_partkey % 3 = 0 then '' else 'r' end").alias("ror"), F.expr("case when p_partkey % 5 = 0 then 'Generalized to parent body' else '' end").alias("reasoning"))
     return reports.review_statistics(entries, _queue(spark, d))
+
+
+# --- more functions and reports ----------------------------------------------
+
+
+@query
+def domains_of_urls(spark, d):
+    """Distinct hosts of an array of URLs, a row a second-level label."""
+    pages = t.table(spark, d, "pages").groupBy((F.col("page_id") % 20).alias("bucket")).agg(F.array_sort(F.collect_list("url")).alias("urls"))
+    return pages.select("bucket", F.array_join(text.domains_of(F.col("urls")), "|").alias("domains"))
+
+
+def _identifiers(p):
+    return p.withColumn("ids", F.expr("array(named_struct('scheme', 'isni', 'identifier', p_brand), named_struct('scheme', case when p_partkey % 2 = 0 then 'ror' else 'url' end, 'identifier', concat('https://x/', p_partkey)), named_struct('scheme', 'ror', 'identifier', 'https://ror.org/later'))"))
+
+
+@query
+def first_identifiers(spark, d):
+    """Award URLs and community registry ids: the first identifier of a scheme."""
+    p = _identifiers(t.parts(spark, d))
+    top = F.expr("case when p_partkey % 5 = 0 then lpad(p_partkey, 9, '0') else p_name end")
+    return p.select("p_partkey", text.first_identifier(F.col("ids"), "url").alias("award_url"), text.community_ror_id(top, F.col("ids")).alias("ror_id"))
+
+
+@query
+def registry_fields(spark, d):
+    """Display name, country and external ids as the registry's records hold them."""
+    from tessera.sources.organizations import registry_table
+
+    record = F.expr(
+        """concat('{"id": "https://ror.org/r', p_partkey, '/", "names": [{"value": "', p_brand, '", "types": ["alias"]}, {"value": " ', p_name, ' ", "types": ["', case when p_partkey % 2 = 0 then 'label' else 'alias' end, '"]}],'
+        , ' "locations": [{"geonames_details": {"country_code": ""}}, {"geonames_details": {"country_code": "', p_type, '"}}],'
+        , ' "external_ids": [{"type": "grid", "all": ', case when p_partkey % 3 = 0 then '["Grid.A", "grid.b"]' else '"GRID.C"' end, ', "preferred": null}]}')"""
+    )
+    out = registry_table(t.parts(spark, d).select(record.alias("value")))
+    return out.select("ror_id", "display_name", "country_code", F.array_join("names", "|").alias("names"), F.array_join("normalized_names", "|").alias("normalized_names"), F.array_join("grid_ids", "|").alias("grid_ids"))
+
+
+@query
+def matching_names(spark, d):
+    """The first raw registry name of each normalized one."""
+    from tessera.operators.evidence import named_targets
+
+    return named_targets(t.ror(spark, d)).select("ror_id", F.col("s_normalized").alias("normalized"), F.col("t_matching").alias("name"))
+
+
+@query
+def group_supports(spark, d):
+    """Which rules back each target, by code and signal."""
+    found, _ = _event_signals(spark, d)
+    return found.groupBy("pic", "group", "ror_id").agg(F.array_join(F.array_sort(F.collect_set("supporter")), "|").alias("supporters"))
+
+
+@query
+def resolver_signals(spark, d):
+    """Each code's single target by signal, before the chain."""
+    found, observed = _event_signals(spark, d)
+    out = resolve.signals(found, observed)
+    return out.select("pic", *resolve.SIGNALS, "community", "community_count", F.array_join(F.array_sort("direct_ambiguous"), "|").alias("ambiguous"))
+
+
+@query
+def rule_labels(spark, d):
+    """Texts of strategies, groups and sources, unknown codes included."""
+    found, observed = _event_signals(spark, d)
+    chosen = resolve.decide(resolve.signals(found, observed))
+    return chosen.select("source", "confidence").distinct().select("source", "confidence", labels.lookup(F.col("source"), labels.SOURCES).alias("label"))
+
+
+@query
+def conditional_distinct_counts(spark, d):
+    """Distinct customers: all, urgent, urgent or high, with a large order."""
+    o = t.table(spark, d, "orders")
+    hit = lambda cond: F.countDistinct(F.when(cond, F.col("o_custkey")))
+    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    return o.groupBy("o_orderstatus").agg(F.countDistinct("o_custkey").alias("customers"), hit(urgent).alias("urgent"), hit(high).alias("urgent_high"), hit(F.col("o_totalprice") > 200000).alias("large"))
+
+
+@query
+def curve_sample(spark, d):
+    """What a slider shows: the first sample at or after a rank, else the last."""
+    parts_ = [select.sample_at_or_after(_curve(spark, d), n).select(F.lit(n).alias("n"), "rank", "cumulative") for n in (7, 100, 1000000)]
+    return parts_[0].unionByName(parts_[1]).unionByName(parts_[2])
+
+
+@query
+def label_review_summary(spark, d):
+    found = _suspicious(spark, d)
+    wrong = reports.likely_wrong(found, t.ror(spark, d))
+    rest = reports.review_rows(found, wrong)
+    count = lambda df, name: df.agg(F.lit(name).alias("kind"), F.count("*").alias("n_rows"), F.countDistinct("slug").alias("n_communities"))
+    return count(found, "suspicious").unionByName(count(wrong, "likely_wrong")).unionByName(count(rest, "review"))

@@ -186,6 +186,23 @@ _QUERIES = {
     "review_statistics": """select count(*) as total, count(*) filter (ror <> '') as accepted, count(*) filter (ror = '') as unresolved, count(*) filter (ror <> '' and reasoning <> '') as generalized,
         (select cast(coalesce(sum(count), 0) as bigint) from queue where pic in (select 'p' || p_partkey from part where p_partkey % 2 = 0 and p_partkey % 3 <> 0)) as appearances_covered, (select cast(sum(count) as bigint) from queue) as total_unresolved_appearances
         from (select 'p' || p_partkey as pic, case when p_partkey % 3 = 0 then '' else 'r' end as ror, case when p_partkey % 5 = 0 then 'x' else '' end as reasoning from part where p_partkey % 2 = 0)""",
+    "domains_of_urls": f"select bucket, array_to_string(list_sort(list(distinct domain)), '|') as domains from (select page_id % 20 as bucket, {_DOMAIN} as domain from pages) where domain <> '' group by 1",
+    "first_identifiers": "select p_partkey, case when p_partkey % 2 = 1 then 'https://x/' || p_partkey else '' end as award_url, case when p_partkey % 5 = 0 then lpad(cast(p_partkey as varchar), 9, '0') when p_partkey % 2 = 0 then cast(p_partkey as varchar) else 'later' end as ror_id from part",
+    "registry_fields": f"""select 'r' || p_partkey as ror_id, case when p_partkey % 2 = 0 then p_name else p_brand end as display_name, p_type as country_code, array_to_string(list_sort([p_brand, p_name]), '|') as names,
+        array_to_string(list_sort([{sql_norm("p_brand")}, {sql_norm("p_name")}]), '|') as normalized_names, case when p_partkey % 3 = 0 then 'grid.a|grid.b' else 'grid.c' end as grid_ids from part""",
+    "matching_names": f"select ror_id, {sql_norm('raw')} as normalized, min(raw) as name from (select ror_id, unnest(names) as raw from ror) group by 1, 2",
+    "group_supports": f"""select pic, grp as "group", ror_id, array_to_string(list_sort(list(distinct side || ':' || rule)), '|') as supporters from (
+        select *, case when k % 5 < 2 then case when k % 2 = 0 then 'name_country_unique' else 'participant_name_country_unique' end when k % 5 < 4 then case when k % 2 = 0 then 'token_sort_name_country_unique' else 'participant_token_sort_name_country_unique' end
+        else case when k % 2 = 0 then 'fuzzy_name_country_unique' else 'participant_fuzzy_name_country_unique' end end as rule from ({_EVENTS})) where event_type <> 'error' group by 1, 2, 3""",
+    "resolver_signals": f"""select pic, {", ".join(f"coalesce({n}, '') as {n}" for n in _GROUPS)}, coalesce(community, '') as community, coalesce(community_count, 0) as community_count, coalesce(array_to_string(list_sort(amb), '|'), '') as ambiguous from (
+        select pic, {", ".join(_one(n) for n in _GROUPS)}, list(distinct ror_id) filter (grp = 'direct_ambiguous') as amb from ({_EVENTS}) where event_type <> 'error' group by 1)
+        full outer join (select pic, min(ror_id) as community, count(*) as community_count from ({_EVENTS}) where event_type = 'error' group by 1 having min(ror_id) = max(ror_id)) using (pic)""",
+    "rule_labels": f"select distinct source, confidence, case source {' '.join(f"when '{k}' then '{v}'" for k, v in labels.SOURCES.items())} else replace(source, '_', ' ') end as label from ({_RESOLUTION})",
+    "conditional_distinct_counts": "select o_orderstatus, count(distinct o_custkey) as customers, count(distinct o_custkey) filter (o_orderpriority = '1-URGENT') as urgent, count(distinct o_custkey) filter (o_orderpriority in ('1-URGENT', '2-HIGH')) as urgent_high, count(distinct o_custkey) filter (o_totalprice > 200000) as large from orders group by 1",
+    "curve_sample": f"with c as ({_RANKED}) select cast(n as integer) as n, rank, cumulative from (values (7), (100), (1000000)) v(n) join c on c.rank = coalesce((select min(rank) from c c2 where c2.rank >= v.n), (select max(rank) from c c3))",
+    "label_review_summary": f"""select 'suspicious' as kind, count(*) as n_rows, count(distinct slug) as n_communities from suspicious union all select 'likely_wrong', count(*), count(distinct slug) from ({_LIKELY})
+        union all select 'review', count(*), count(distinct slug) from suspicious where (slug, org_order) not in (select (slug, org_order) from ({_LIKELY}))""",
 }
 
+
 ORACLES = {name: with_tables(sql) for name, sql in _QUERIES.items()}

@@ -231,4 +231,6 @@ def with_tables(query: str) -> str:
 
     add(query)
     ctes = ", ".join(f"{name} as ({SQL[name]})" for name in SQL if name in needed)
-    return f"with {ctes} {query}" if ctes else query
+    if not ctes:
+        return query
+    return f"with {ctes}, {query.removeprefix('with ')}" if query.startswith("with ") else f"with {ctes} {query}"
