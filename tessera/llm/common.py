@@ -7,9 +7,10 @@ Arrow batches of bounded size.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 #: Runs of anything but ASCII white space; the word rule of the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes an emitted Arrow batch may reach before it is handed to Spark.
-EMIT_BYTES = 8 << 20
+EMIT_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,3 +83,23 @@ def rows_to_batches(rows: Iterator[tuple], schema: pa.Schema, weigh) -> Iterator
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, giving back memory at its end: Python workers are kept between tasks, and what
+    they hold idle counts against the executor."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, one at a time in Python."""
+    for at in range(batch.num_rows):
+        yield {name: column[at].as_py() for name, column in zip(batch.schema.names, batch.columns, strict=True)}

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tessera.llm.common import staged
+from tessera.llm.common import staged, tidy
 
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\v\f\r"
@@ -58,18 +58,20 @@ def repeat_words(words: list[bytes]) -> int:
     return covered
 
 
-def measured(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """The columns `keep` of docs and the counts of every row."""
-    source = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("text__"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]) + "".join(f", {c} bigint" for c in _COUNTS)
+def measured(docs: DataFrame, text_col: str, drop_text: bool = False) -> DataFrame:
+    """docs with the counts of every row; drop_text leaves the text itself in the worker."""
+    at = docs.columns.index(text_col)
+    fields = [f for f in docs.schema.fields if not (drop_text and f.name == text_col)]
+    schema = StructType(fields + [StructField(c, LongType()) for c in _COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [measure(t) for t in batch.column(len(keep)).to_pylist()]
+            rows = [measure(text.as_py()) for text in batch.column(at)]
             counts = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(_COUNTS))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *counts], names=[*keep, *_COUNTS])
+            columns = [c for i, c in enumerate(batch.columns) if not (drop_text and i == at)]
+            yield pa.RecordBatch.from_arrays([*columns, *counts], names=schema.names)
 
-    return source.mapInArrow(run, ddl)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def base_failed() -> Column:
@@ -86,6 +88,10 @@ def _soft_failed(slack: float) -> Column:
     )
 
 
+def _kept_by_host() -> Column:
+    return F.when(F.col("verdict") == "blocked", False).when(F.col("verdict") == "strict", ~_soft_failed(1.0)).otherwise(~_soft_failed(SLACK))
+
+
 def beta_prior(docs: float, failed: float, square: float, hosts: int) -> tuple[float, float]:
     """(mean, strength in documents) of the prior, by moments of the hosts' rates
     weighted by documents; square is the sum of documents times squared rate."""
@@ -133,13 +139,12 @@ def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A null text counts as empty, rows without a host form one host of their own, and
     repeated rows or ids are judged one by one. Other columns are not read.
     """
-    named = docs.select(F.col(id_col).alias(id_col), F.col(host_col).cast("string").alias("host__"), F.col(text_col).alias("text__"))
-    rows = staged(measured(named, "text__", [id_col, "host__"]).withColumnRenamed("host__", "host"), "measured")
+    named = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{host_col}`").cast("string").alias("host"), F.col(f"`{text_col}`").cast("string").alias("text__"))
+    rows = staged(measured(named, "text__", drop_text=True), "measured")
     failed = rows.select(F.coalesce("host", F.lit("\0")).alias("host"), (base_failed() | _soft_failed(1.0)).alias("failed"))
     verdicts = host_verdicts(failed).select(F.col("host").alias("host__"), "shrunk_rate", "verdict")
     joined = rows.join(verdicts, F.coalesce("host", F.lit("\0")) == F.col("host__"), "left").drop("host__")
-    kept = ~base_failed() & F.when(F.col("verdict") == "blocked", False).when(F.col("verdict") == "strict", ~_soft_failed(1.0)).otherwise(~_soft_failed(SLACK))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", kept)
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & _kept_by_host())
 
 
 def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -149,21 +154,10 @@ def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shuffled: the host table is joined to the documents, and Spark picks a broadcast
     only where that table is small.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    counts = rule_counts(F.col(f"`{text_col}`").cast("string"))
+    columns = [F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     host = F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("\0"))
-    measured_rows = docs.select(host.alias("host"), counts.alias("m__")).select("host", "m__.*")
-    failed = measured_rows.select("host", (base_failed() | _soft_failed(1.0)).alias("failed"))
-    verdicts = host_verdicts(failed).select("host", "verdict")
-    joined = docs.select(F.struct(*columns).alias("row__"), host.alias("host"), counts.alias("m__")).select("row__", "host", "m__.*").join(verdicts, "host")
-    kept = ~base_failed() & F.when(F.col("verdict") == "blocked", False).when(F.col("verdict") == "strict", ~_soft_failed(1.0)).otherwise(~_soft_failed(SLACK))
-    return joined.where(kept).select("row__.*")
-
-
-def rule_counts(text: Column) -> Column:
-    """The counts of a text as a struct, from one Arrow-batched function."""
-    @F.pandas_udf(", ".join(f"{c} bigint" for c in _COUNTS))
-    def count(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([measure(t) for t in texts], columns=_COUNTS, dtype="int64")
-
-    return count(text)
+    rules = measured(docs.select(host.alias("host__"), F.col(f"`{text_col}`").cast("string").alias("text__")), "text__", drop_text=True)
+    verdicts = host_verdicts(rules.select("host__", (base_failed() | _soft_failed(1.0)).alias("failed__")), "host__", "failed__")
+    known = docs.select(*[c.alias(f"{k}__") for k, c in enumerate(columns)], host.alias("host__")).join(verdicts.select("host__", "verdict"), "host__")
+    judged = measured(known, f"{docs.columns.index(text_col)}__").where(~base_failed() & _kept_by_host())
+    return judged.select(*[F.col(f"{k}__").alias(c) for k, c in enumerate(docs.columns)])
