@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and digests of them and of what they decode to."""
     ranks = public_tokenizers.path(RANKS)
-    decoded = bpe.decode_documents(bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks)
+    decoded = bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -33,10 +33,11 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import rows_to_batches
+from tessera.llm.common import rows_of, rows_to_batches, tidy
 from tessera.llm.pretoken import splitter
 
 #: UTF-8 bytes of text after which a block ends.
@@ -57,11 +58,29 @@ def load_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
 
 
-@lru_cache(maxsize=4)
-def _encoder(pattern: str, ranks: tuple):
+@lru_cache(maxsize=1)
+def _encoder(pattern: str, vocabulary: Broadcast):
     import tiktoken
 
-    return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=dict(ranks), special_tokens={})
+    return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=vocabulary.value, special_tokens={})
+
+
+class TokenTable:
+    """Bytes of tokens by id: all of them in a row, where each starts, and its length."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.lengths = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
+        for token, rank in ranks.items():
+            self.lengths[rank] = len(token)
+        sizes = np.maximum(self.lengths, 0)
+        self.starts = np.cumsum(sizes) - sizes
+        self.bytes = np.frombuffer(b"".join(token for token, _ in sorted(ranks.items(), key=lambda x: x[1])), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of the ids' tokens, joined."""
+        if len(ids) and (ids.max() >= len(self.lengths) or (self.lengths[ids] < 0).any()):
+            raise ValueError("an id that the token table lacks")
+        return _gather(self.bytes, self.starts[ids], self.lengths[ids]).tobytes()
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -173,15 +192,15 @@ def _explode(kind: int, pattern: str, buckets: int, block_bytes: int, schema: pa
         if block:
             yield from block.finish(buckets)
 
-    return lambda batches: rows_to_batches(rows(batches), schema, _weigh)
+    return tidy(lambda batches: rows_to_batches(rows(batches), schema, _weigh))
 
 
 def _encode_words(pattern: str, ranks, schema: pa.Schema):
     def rows(batches):
-        encode = _encoder(pattern, tuple(ranks.value.items())).encode_ordinary
+        encode = _encoder(pattern, ranks).encode_ordinary
         bucket, known = None, {}
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 if row["key"] != bucket:
                     bucket, known = row["key"], {}
                 ends = np.cumsum(_unpack(row["counts"])).tolist()
@@ -196,7 +215,7 @@ def _encode_words(pattern: str, ranks, schema: pa.Schema):
                 flat = np.fromiter((i for word in ids for i in word), np.uint32, int(counts.sum()))
                 yield row["block"], WORDS, row["block"], 0, row["check"], row["slots"], _pack(counts), _pack(flat), []
 
-    return lambda batches: rows_to_batches(rows(batches), schema, _weigh)
+    return tidy(lambda batches: rows_to_batches(rows(batches), schema, _weigh))
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -206,11 +225,11 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return flat[np.repeat(starts - before, lengths) + np.arange(total)]
 
 
-def _reassemble(schema: pa.Schema):
+def _reassemble(schema: pa.Schema, tokens: Broadcast | None):
     def documents(batches):
         block = None
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 if row["block"] != block:
                     block, parts, table, check = row["block"], [], None, 0
                 if row["kind"] == WORDS:
@@ -229,9 +248,9 @@ def _reassemble(schema: pa.Schema):
                     own = slots[begin : begin + n]
                     begin += n
                     ids = _gather(flat, starts[own], lengths[own])
-                    yield doc_id, len(ids), ids.astype("<u4").tobytes()
+                    yield doc_id, len(ids), ids.astype("<u4").tobytes(), *([tokens.value.decode(ids)] if tokens else [])
 
-    return lambda batches: rows_to_batches(documents(batches), schema, lambda row: 32 + len(row[2]))
+    return tidy(lambda batches: rows_to_batches(documents(batches), schema, lambda row: 32 + sum(map(len, row[2:]))))
 
 
 def _table(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,14 +264,16 @@ def _table(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.concatenate([flat for _, _, flat in parts]) if parts else np.empty(0, np.uint32)), starts, lengths
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(id_col, n_tokens long, ids binary) for every row of docs; ids are little-endian
-    unsigned 32-bit numbers.
+def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, buckets: int = BUCKETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id_col, n_tokens long, ids binary [, decoded binary]) for every row of docs; ids
+    are little-endian unsigned 32-bit numbers.
 
     A null or empty text has no ids. Each row is encoded by itself: repeated rows and
     repeated or null ids give a row each. Other columns are not read. An empty table
     gives an empty table. Documents are dealt to blocks by input partition, so the
     input should be a scan or a written table, which a retry reads in the same order.
+    decoded adds what the ids decode to, by the token-byte table, in the task that has
+    put them together.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -260,11 +281,15 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
     source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"), F.spark_partition_id().alias("part__"))
     kind = source.schema[0].dataType
     packed, ddl = _schema(to_arrow_type(kind)), _ROW.format(id=kind.simpleString())
-    ranks = spark.sparkContext.broadcast(load_ranks(vocabulary))
+    ranks = load_ranks(vocabulary)
+    shared = spark.sparkContext.broadcast(ranks)
+    tokens = spark.sparkContext.broadcast(TokenTable(ranks)) if decoded else None
     exploded = lambda kind: source.mapInArrow(_explode(kind, pattern, buckets, block_bytes, packed), ddl)
-    encoded = exploded(WORDS).repartition("key").sortWithinPartitions("key").mapInArrow(_encode_words(pattern, ranks, packed), ddl)
-    result = pa.schema([(id_col, to_arrow_type(kind)), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-    return encoded.unionByName(exploded(DOCS)).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_reassemble(result), f"`{id_col}` {kind.simpleString()}, n_tokens bigint, ids binary")
+    encoded = exploded(WORDS).repartition("key").sortWithinPartitions("key").mapInArrow(_encode_words(pattern, shared, packed), ddl)
+    more = [("decoded", pa.binary())] if decoded else []
+    result = pa.schema([(id_col, to_arrow_type(kind)), ("n_tokens", pa.int64()), ("ids", pa.binary()), *more])
+    columns = f"`{id_col}` {kind.simpleString()}, n_tokens bigint, ids binary" + (", decoded binary" if decoded else "")
+    return encoded.unionByName(exploded(DOCS)).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_reassemble(result, tokens), columns)
 
 
 def token_table(spark: SparkSession, vocabulary: str) -> DataFrame:
@@ -279,26 +304,10 @@ def decode_documents(encoded: DataFrame, vocabulary: str, ids_col: str = "ids",
     token-byte table (bounded by MAX_VOCABULARY_BYTES) is broadcast and joined to the
     ids by number, a column of documents at a time.
     """
-    ranks = load_ranks(vocabulary)
-    lengths = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
-    for token, rank in ranks.items():
-        lengths[rank] = len(token)
-    starts = np.cumsum(np.maximum(lengths, 0)) - np.maximum(lengths, 0)
-    joined = np.frombuffer(b"".join(token for token, _ in sorted(ranks.items(), key=lambda x: x[1])), np.uint8)
-    table = encoded.sparkSession.sparkContext.broadcast((joined, starts, lengths))
+    tokens = encoded.sparkSession.sparkContext.broadcast(TokenTable(load_ranks(vocabulary)))
 
     @F.pandas_udf("binary")
     def decode(column):
-        flat, begin, size = table.value
-
-        def one(ids):
-            if ids is None:
-                return None
-            ids = np.frombuffer(ids, "<u4")
-            if len(ids) and (ids.max() >= len(size) or (size[ids] < 0).any()):
-                raise ValueError("an id that the token table lacks")
-            return _gather(flat, begin[ids], size[ids]).tobytes()
-
-        return column.map(one)
+        return column.map(lambda ids: None if ids is None else tokens.value.decode(np.frombuffer(ids, "<u4")))
 
     return encoded.withColumn(out_col, decode(F.col(ids_col)))

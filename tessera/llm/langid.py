@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import tidy
+
 BUCKET_BITS, SIZE, GRAMS = 15, 16, (1, 2, 3, 4)
 #: Labelled rows that training reads at most (in expectation), over all languages.
 MAX_TRAINING_ROWS = 2000
@@ -108,7 +110,7 @@ def training_windows(rows: DataFrame, text_col: str, label_col: str) -> DataFram
                 out += [(label, fold, np.concatenate(gram_buckets(points[p : p + WINDOW])).astype("<u2").tobytes()) for p in places]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary()))], names=["label", "fold", "buckets"])
 
-    return rows.select(F.col(text_col).cast("string"), F.col(label_col), F.col("fold__")).mapInArrow(run, "label string, fold int, buckets binary")
+    return rows.select(F.col(text_col).cast("string"), F.col(label_col), F.col("fold__")).mapInArrow(tidy(run), "label string, fold int, buckets binary")
 
 
 def fit(examples: list[tuple[str, int, bytes]], seed: int = 7) -> LanguageModel:

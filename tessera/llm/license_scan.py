@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import tidy
+
 #: Every byte that is no word byte (0-9, a-z and all of UTF-8's other bytes) becomes a space.
 _SPACED = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
@@ -272,8 +274,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         as_row = lambda d: {"label": d.label, "first": d.first, "last": d.last, "priority": d.priority, "weight": d.weight}
         for batch in batches:
-            scans = [scan(t) for t in batch.column(1).to_pylist()]
+            scans = [scan(text.as_py()) for text in batch.column(1)]
             lists = [pa.array([[as_row(d) for d in s[k]] for s in scans], _ARROW) for k in (1, 2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s[0] for s in scans], pa.int64()), *lists], names=[id_col, "n_words", "base", "detections"])
 
-    return source.mapInArrow(run, ddl)
+    return source.mapInArrow(tidy(run), ddl)

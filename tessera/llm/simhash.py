@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import staged, tidy
 from tessera.llm.components import connected_components
 
 SEED = 42
@@ -79,17 +79,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = source.schema[0].dataType
     ddl = f"`{id_col}` {kind.simpleString()}, fingerprint bigint" + (", word_fingerprint bigint" if words else "")
 
+    names = [id_col, "fingerprint", *(["word_fingerprint"] if words else [])]
+
+    def prints(text: str | None) -> tuple[int, ...]:
+        found = words_of(text)
+        shingles = fingerprint(shingle_hashes(found, shingle))
+        return (shingles, fingerprint(word_hashes(found))) if words else (shingles,)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [words_of(t) for t in batch.column(1).to_pylist()]
-            columns = [batch.column(0), pa.array([fingerprint(shingle_hashes(w, shingle)) for w in found], pa.int64())]
-            names = [id_col, "fingerprint"]
-            if words:
-                columns.append(pa.array([fingerprint(word_hashes(w)) for w in found], pa.int64()))
-                names.append("word_fingerprint")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            rows = [prints(text.as_py()) for text in batch.column(1)]
+            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names) - 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
-    return source.mapInArrow(run, ddl)
+    return source.mapInArrow(tidy(run), ddl)
 
 
 def block_masks(blocks: int, radius: int) -> list[int]:
@@ -179,7 +182,7 @@ def near_links(nodes: DataFrame, columns: list[str], radii: list[int], blocks: i
             if len(links):
                 yield pa.RecordBatch.from_arrays([pa.array(rows[links[:, 0], 2]), pa.array(rows[links[:, 1], 2])], names=["a", "b"])
 
-    return shared.mapInArrow(run, "a bigint, b bigint").distinct()
+    return shared.mapInArrow(tidy(run), "a bigint, b bigint").distinct()
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, blocks: int = 7) -> DataFrame:

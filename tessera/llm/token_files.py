@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import rows_to_batches
+from tessera.llm.common import rows_to_batches, tidy
 from tessera.llm.pretoken import splitter
 
 #: Bytes of frames, and documents, after which a shard ends.
@@ -141,7 +141,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, pattern: str | None, end_i
                 ids = [i if len(i) <= SAMPLE_IDS else np.concatenate([i[s : s + SAMPLE_IDS // 10] for s in np.linspace(0, len(i) - SAMPLE_IDS // 10, 10).astype(int)]) for i in ids]
                 yield pa.RecordBatch.from_arrays([pa.array([serialize(i, width) for i in ids], pa.binary())], names=["ids"])
 
-    samples = [bytes(r[0]) for r in texts.mapInArrow(run, "ids binary").collect()]
+    samples = [bytes(r[0]) for r in texts.mapInArrow(tidy(run), "ids binary").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -194,7 +194,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, pattern:
         if keys:
             yield _shard_row(part, shard, keys, frames, counts)
 
-    written = ordered.mapInArrow(lambda batches: rows_to_batches(shards(batches), schema, lambda r: len(r[2]) + 20 * len(r[3])), ddl)
+    written = ordered.mapInArrow(tidy(lambda batches: rows_to_batches(shards(batches), schema, lambda r: len(r[2]) + 20 * len(r[3]))), ddl)
     written.withColumn("dict_hash", F.lit(digest)).write.option("compression", "none").parquet(f"{path}/shards")
 
 
@@ -263,7 +263,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
                 for key, offset, length, start, count in zip(keys, offsets, lengths, starts, counts, strict=True):
                     yield key, start, count, _ids(unpacker, blob[offset : offset + length], width)
 
-    return based.mapInArrow(lambda batches: rows_to_batches(documents(batches), schema, lambda r: 32 + len(r[3])), f"`{id_col}` {kind.simpleString()}, start bigint, n_tokens bigint, ids binary")
+    return based.mapInArrow(tidy(lambda batches: rows_to_batches(documents(batches), schema, lambda r: 32 + len(r[3]))), f"`{id_col}` {kind.simpleString()}, start bigint, n_tokens bigint, ids binary")
 
 
 def _ids(unpacker: zstandard.ZstdDecompressor, frame: bytes, width: int) -> bytes:
