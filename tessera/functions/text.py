@@ -87,6 +87,15 @@ def fuzzy_block_keys(normalized: Column) -> Column:
     return F.when(normalized == "", F.array().cast("array<string>")).otherwise(F.array_distinct(keys))
 
 
+def letters_mask(normalized: Column) -> Column:
+    """Bit set of the letters and digits that a normalized name holds."""
+    alphabet = "abcdefghijklmnopqrstuvwxyz0123456789"
+    out = F.lit(0).cast("long")
+    for at, char in enumerate(alphabet):
+        out = out.bitwiseOR(F.when(normalized.contains(char), F.lit(1 << at)).otherwise(F.lit(0)).cast("long"))
+    return out
+
+
 def normalize_domain(column: Column) -> Column:
     """Host of a URL or of a bare domain: lower case, without user, port, outer dots and
     one leading 'www.'."""

@@ -40,12 +40,12 @@ def observations(participants: DataFrame, orgs: DataFrame, suspicious: DataFrame
     label = trusted.groupBy("slug", "ror_id").agg(F.min_by("name", "org_order").alias("community_org_name"))
     found = participants.where("pic != '' and normalized_name != ''").join(alias_map(trusted, ror), ["slug", "normalized_name"])
     found = first_per_key(found, ["pic", "ror_id", "slug", "award_number"], "participant_order").join(label, ["slug", "ror_id"])
-    named = ev.with_names(found.withColumn("s_value", F.col("participant_name")).withColumn("fuzzy", F.lit(None).cast(ev.FUZZY_TYPE)), ror)
+    named = ev.with_names(found.withColumn("s_value", F.col("participant_name")).withColumn("s_normalized", F.col("normalized_name")).withColumn("fuzzy", F.lit(None).cast(ev.FUZZY_TYPE)), ror)
     label_check = ev.json_object(
         field=ev.constant("community organization label"),
         source_normalized=json_value(normalize_name(F.col("community_org_name"))),
         source_value=json_value(F.col("community_org_name")),
-        target_normalized=json_value(normalize_name(F.col("t_name"))),
+        target_normalized=json_value(text_or_empty(F.col("t_name_normalized"))),
         target_value=json_value(text_or_empty(F.col("t_name"))),
     )
     evidence = ev.json_object(

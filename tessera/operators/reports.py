@@ -33,35 +33,50 @@ def size_band(total: Column) -> Column:
     return F.when(total <= 0, None).when(total <= 5, "1-5").when(total <= 10, "6-10").when(total <= 20, "11-20").when(total <= 40, "21-40").otherwise("41+")
 
 
+def _people(participants: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a code within the keys: how well it is resolved, and the sources it comes from."""
+    has = F.col("ror_id") != ""
+    return participants.where("pic != ''").groupBy(*keys, "pic").agg(
+        F.max((has & (F.col("resolution_confidence") == "high")).cast("int")).alias("high"),
+        F.max((has & accepted(F.col("resolution_confidence"))).cast("int")).alias("high_medium"),
+        F.max(has.cast("int")).alias("any"),
+        F.min("source").alias("first_source"),
+        F.max("source").alias("last_source"),
+    )
+
+
+_RESOLVED = ("high", "high_medium", "any")
+
+
 def _covered() -> list[Column]:
-    """Distinct codes: all, resolved at high, at high or medium, at any confidence."""
-    has = (F.col("pic") != "") & (F.col("ror_id") != "")
-    hit = lambda cond: F.countDistinct(F.when(cond, F.col("pic")))
-    confidence = F.col("resolution_confidence")
-    return [
-        hit(F.col("pic") != "").alias("participants"),
-        hit(has & (confidence == "high")).alias("high"),
-        hit(has & accepted(confidence)).alias("high_medium"),
-        hit(has).alias("any"),
-    ]
+    """Codes: all, resolved at high, at high or medium, at any confidence."""
+    return [F.count("pic").alias("participants"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _RESOLVED]]
 
 
-def source_bucket(sources: Column) -> Column:
-    return F.when(F.size(sources) == 0, "none").when(F.size(sources) > 1, "mixed").otherwise(F.get(sources, F.lit(0)))
+def source_bucket(first: Column, last: Column) -> Column:
+    return F.when(first.isNull(), "none").when(first != last, "mixed").otherwise(first)
 
 
 def community_coverage(awards: DataFrame, participants: DataFrame) -> DataFrame:
-    """One row an active community, communities without participants included."""
+    """One row an active community, communities without participants included.
+
+    Codes are gathered by award, then by community, so that each is counted once without a
+    distinct count of every condition.
+    """
     active = awards.where("not is_deleted").select("slug", "award_number").distinct()
-    rows = active.join(participants.select("award_number", "pic", "ror_id", "resolution_confidence", "source"), "award_number", "left")
-    sources = F.collect_set(F.when(F.col("pic") != "", F.col("source")))
-    return rows.groupBy("slug").agg(F.countDistinct("award_number").alias("award_count"), *_covered(), source_bucket(sources).alias("source_bucket"))
+    by_award = _people(participants, ["award_number"])
+    merged = [F.max(c).alias(c) for c in (*_RESOLVED, "last_source")]
+    people = active.join(by_award, "award_number").groupBy("slug", "pic").agg(*merged, F.min("first_source").alias("first_source"))
+    bucket = source_bucket(F.min("first_source"), F.max("last_source"))
+    listed = active.groupBy("slug").agg(F.count("*").alias("award_count"))
+    counted = people.groupBy("slug").agg(*_covered(), bucket.alias("source_bucket"))
+    return listed.join(counted, "slug", "left").fillna(0, ["participants", *_RESOLVED]).fillna("none", ["source_bucket"])
 
 
 def award_coverage(awards: DataFrame, participants: DataFrame) -> DataFrame:
     active = awards.where("not is_deleted").select("award_number").distinct()
-    rows = active.join(participants.select("award_number", "pic", "ror_id", "resolution_confidence"), "award_number", "left")
-    return rows.groupBy("award_number").agg(*_covered()).drop("high")
+    counted = _people(participants, ["award_number"]).groupBy("award_number").agg(*_covered())
+    return active.join(counted, "award_number", "left").fillna(0, ["participants", *_RESOLVED]).drop("high")
 
 
 def availability(community: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def renumbered(df: DataFrame, keys: Sequence[str], out: str, *order: Column | st
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("int"))
 
 
-def _settled(df: DataFrame) -> DataFrame:
+def settled(df: DataFrame) -> DataFrame:
     """df, computed once: in the checkpoint folder where the session has one, so that the
     loss of an executor doesn't deal the rows anew, else in the cache."""
     return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.persist()
@@ -43,7 +43,7 @@ def running_share(df: DataFrame, amount: str, *order: Column | str) -> DataFrame
     The order is total, so rows are dealt by range of the order first: sums of the
     ranges, then running sums within each, instead of one task that sorts everything.
     """
-    placed = _settled(df.repartitionByRange(*order).withColumn("part__", F.spark_partition_id()))
+    placed = settled(df.repartitionByRange(*order).withColumn("part__", F.spark_partition_id()))
     sums = placed.groupBy("part__").agg(F.sum(amount).alias("sum__"), F.count("*").alias("rows__"))
     upto = Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("part__", F.coalesce(F.sum("sum__").over(upto), F.lit(0)).alias("before__"), F.coalesce(F.sum("rows__").over(upto), F.lit(0)).alias("rank0__"))

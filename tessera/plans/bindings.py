@@ -207,9 +207,9 @@ def rule_chain_resolution(spark, d):
 def resolution_trace(spark, d):
     """Resolutions of records and communities with the whole trace."""
     registry, records = t.ror(spark, d), t.orgs(spark, d)
-    found = candidates.openaire_matches(records, registry)
-    people = candidates.participant_matches(t.participants(spark, d), records, registry)
-    observed = _observed(spark, d)
+    found = select.settled(candidates.openaire_matches(records, registry))
+    people = select.settled(candidates.participant_matches(t.participants(spark, d), records, registry))
+    observed = select.settled(_observed(spark, d))
     return resolve.traced_resolutions(found, people, community.community_matches(observed, found), observed, registry)
 
 

@@ -117,6 +117,23 @@ def test_similarity_scores(spark):
     assert row["token_sort"] == 100 and row["ratio"] < 100
 
 
+def test_bounds_lose_no_pair(spark):
+    """Whatever reaches the threshold passes the letter masks and the bound."""
+    from tessera.operators import fuzzy
+
+    rng = random.Random(7)
+    words = ["university", "of", "x", "lab", "labs", "alpha", "alpah", "institute", "a", "b1", "b2"]
+    pairs = [(" ".join(rng.choices(words, k=rng.randint(1, 6))), " ".join(rng.choices(words, k=rng.randint(1, 6)))) for _ in range(4000)]
+    best = lambda a, b: max(similarity.ratio(a, b), similarity.token_sort_ratio(a, b), similarity.token_set_ratio(a, b))
+    good = {(a, b) for a, b in pairs if best(a, b) >= 95}
+    assert len(good) > 20 and all(similarity.may_reach(a, b, 95.0) for a, b in good)
+    left = spark.createDataFrame([(a, "c") for a, _ in pairs], "normalized string, country string")
+    right = spark.createDataFrame([(b, "c") for _, b in pairs], "target_normalized string, country string")
+    every = {(r[0], r[2]) for r in fuzzy.blocked_pairs(left, right).collect()}
+    kept = {(r[0], r[2]) for r in fuzzy.blocked_pairs(left, right, 95.0).collect()}
+    assert kept <= every and all(p in kept for p in every if best(*p) >= 95)
+
+
 def test_round_tenth(spark):
     rows = spark.createDataFrame([(0.15,), (62.25,), (None,)], "x double").select(similarity.round_tenth("x").alias("y")).collect()
     assert [r["y"] for r in rows] == [0.1, 62.2, None]
