@@ -1,6 +1,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,7 +127,8 @@ def test_bounds_lose_no_pair(spark):
     pairs = [(" ".join(rng.choices(words, k=rng.randint(1, 6))), " ".join(rng.choices(words, k=rng.randint(1, 6)))) for _ in range(4000)]
     best = lambda a, b: max(similarity.ratio(a, b), similarity.token_sort_ratio(a, b), similarity.token_set_ratio(a, b))
     good = {(a, b) for a, b in pairs if best(a, b) >= 95}
-    assert len(good) > 20 and all(similarity.may_reach(a, b, 95.0) for a, b in good)
+    assert len(good) > 20 and similarity.may_reach(*map(pd.Series, zip(*sorted(good), strict=True)), 95.0).all()
+    assert not similarity.may_reach(*map(pd.Series, zip(*pairs, strict=True)), 95.0).all()
     left = spark.createDataFrame([(a, "c") for a, _ in pairs], "normalized string, country string")
     right = spark.createDataFrame([(b, "c") for _, b in pairs], "target_normalized string, country string")
     every = {(r[0], r[2]) for r in fuzzy.blocked_pairs(left, right).collect()}
