@@ -207,16 +207,16 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 11, word_radius: int = 8, blocks: int = 10) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 14, word_radius: int = 10, blocks: int = 12) -> DataFrame:
     """(id_col, group_id) for every row of docs with an id; group_id is the smallest id
     of its group of near copies.
 
     For groups of texts that share 0.8 or more of their five-word shingles. A Jaccard
     similarity of 0.8 is a cosine of 0.89, at which fingerprints of shingles differ in
-    9.7 of 64 bits on average: too many for pigeonhole blocks. The fingerprint of the
-    distinct words of such a pair differs in about 4, so blocks are taken from that
-    one, and a pair counts when its words' fingerprints differ in at most
-    `word_radius` bits and its shingles' fingerprints in at most `radius`.
+    9.7 of 64 bits on average and seldom in over 14: too many for pigeonhole blocks. The
+    fingerprint of the distinct words of such a pair differs in about 4 and seldom in
+    over 10, so blocks are taken from that one, and a pair counts when its words'
+    fingerprints differ in at most `word_radius` bits and its shingles' in at most `radius`.
     Rows with equal fingerprints of both kinds collapse to one node first.
     """
     prints = staged(fingerprints(docs, id_col, text_col, shingle, words=True).where(F.col(id_col).isNotNull()), "fingerprints")

@@ -48,7 +48,7 @@ def test_stages(spark, documents):
 
     for a, f, w in found:
         for b, g, v in found:
-            if a < b and (f ^ g).bit_count() <= 11 and (w ^ v).bit_count() <= 8:
+            if a < b and (f ^ g).bit_count() <= 14 and (w ^ v).bit_count() <= 10:
                 low, high = sorted((find(a), find(b)))
                 root[high] = low
     assert {r["doc_id"] for r in after.collect()} == {i for i in root if find(i) == i}
