@@ -14,10 +14,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from tessera.llm.common import tidy
 
@@ -186,18 +186,25 @@ def train_language_model(labelled: DataFrame, id_col: str = "doc_id", text_col:
     return fit([(r[0], r[1], bytes(r[2])) for r in training_windows(sample, text_col, label_col).collect()])
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Column:
-    """struct<lang string, score double, accepted boolean> for the whole of each text.
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """docs with lang string, score double, accepted boolean in place of text_col, from the
+    whole of each text.
 
     A null text, or one without a letter, gives ('und', 0, false); so does every text if
-    the model learned no language.
+    the model learned no language. Other columns are passed on as they are; columns that
+    have the three names already are to be renamed before.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+    kept = [f for f in docs.schema.fields if f.name != text_col]
+    schema = StructType([*kept, StructField("lang", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())])
+    kinds = (pa.string(), pa.float64(), pa.bool_())
 
-    @F.pandas_udf("lang string, score double, accepted boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        rows = [own.predict(t) if own.languages else ("und", 0.0, False) for t in texts]
-        return pd.DataFrame(rows, columns=["lang", "score", "accepted"])
+        for batch in batches:
+            rows = [own.predict(text.as_py()) if own.languages else ("und", 0.0, False) for text in batch.column(at)]
+            found = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), *found], names=schema.names)
 
-    return predict(F.col(text_col).cast("string"))
+    return docs.mapInArrow(tidy(run), schema)

@@ -48,8 +48,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.coalesce(unsigned_crc32(F.col("doc_id")) % 4 == 2, F.lit(False))
     model = langid.train_language_model(docs.where(~held_out))
-    found = langid.identify(docs, model).alias("found")
-    return docs.select("doc_id", held_out.alias("held_out"), found).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.accepted")
+    found = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", F.col("lang").alias("lang_pred"), "score", "accepted")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

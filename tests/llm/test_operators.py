@@ -265,12 +265,14 @@ def test_language_held_out(spark):
 
 def test_language_odd_rows(odd, empty, documents):
     model = langid.train_language_model(documents)
-    rows = odd.select("text", langid.identify(odd, model).alias("f")).collect()
+    texts = odd.select("text", F.col("text").alias("again"), "v")
+    rows = langid.identify(texts, model).collect()
     assert len(rows) == odd.count()
     for r in rows:
-        assert (r["f"]["lang"] == "und") == (not any(map(str.isalpha, r["text"] or "")))
+        assert (r["lang"] == "und") == (not any(map(str.isalpha, r["again"] or "")))
     nothing = langid.train_language_model(empty)
-    assert {r["f"]["lang"] for r in odd.select(langid.identify(odd, nothing).alias("f")).collect()} == {"und"}
+    assert {r["lang"] for r in langid.identify(texts, nothing).collect()} == {"und"}
+    assert langid.identify(texts.limit(0), model).collect() == []
 
 
 def test_folding():
