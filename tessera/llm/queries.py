@@ -102,7 +102,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = lambda c: F.coalesce(unsigned_crc32(c) % 5 == 0, F.lit(False))
     model = toxicity.train_toxicity(docs.select("doc_id", "text"), labels.where(~held_out(F.col("doc_id"))))
-    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.toxicity_score(docs, model).alias("score"))
+    scored = toxicity.score_documents(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), model)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -12,14 +12,17 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.common import staged
+from tessera.llm.common import staged, tidy
 from tessera.llm.simhash import keep_one_per_group, near_duplicate_groups
 
 #: Labelled rows that training reads at most (in expectation), half of each label.
@@ -223,12 +226,16 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return ToxicityModel(model.weights, curve)
 
 
-def toxicity_score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Column:
-    """Score (0 to 1) of each whole text; null and empty texts get the score of no match."""
+def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """docs with `score` (0 to 1) of each whole text in place of text_col. Null and empty
+    texts get the score of no match; other columns are passed on as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+    schema = StructType([*(f for f in docs.schema.fields if f.name != text_col), StructField("score", DoubleType())])
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(shared.value.score, na_action=None).astype("float64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = pa.array([shared.value.score(text.as_py()) for text in batch.column(at)], pa.float64())
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), scores], names=schema.names)
 
-    return score(F.col(text_col).cast("string"))
+    return docs.mapInArrow(tidy(run), schema)

@@ -300,5 +300,5 @@ def test_toxicity_held_out(spark):
 def test_toxicity_odd_rows(odd, empty, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train_toxicity(odd, labels)
-    assert odd.select(toxicity.toxicity_score(odd, model).alias("s")).where("s between 0 and 1").count() == odd.count()
-    assert empty.select(toxicity.toxicity_score(empty, model)).collect() == []
+    assert toxicity.score_documents(odd, model).where("score between 0 and 1").count() == odd.count()
+    assert toxicity.score_documents(empty, model).collect() == []
