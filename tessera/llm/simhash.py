@@ -10,10 +10,14 @@ A run never emits all its pairs: it emits a spanning forest of its links, which
 keeps every component whole while a group of thousands of near copies costs about
 as many rows as it has members. Copies with equal fingerprints are collapsed before
 the keys are made.
+
+Near-duplicate groups (near_duplicate_groups) go by the share of equal shingles itself:
+candidates agree on a MinHash band, and every link is counted exactly.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import accumulate, combinations
 
@@ -31,6 +35,12 @@ SEED = 42
 BITS_AT_ONCE = 1 << 16
 #: Runs up to this long are compared as one matrix.
 MATRIX_RUN = 256
+#: Texts that share 0.8 of their shingles agree on one of 16 bands of 4 values with a chance of 0.9998.
+BANDS, BAND_VALUES = 16, 4
+#: Shingle hashes that meet all MinHash functions at once.
+HASHES_AT_ONCE = 1 << 12
+_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_VALUES), np.uint64)
+_FACTORS, _TERMS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -69,28 +79,20 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, words: bool = False) -> DataFrame:
-    """(id_col, fingerprint long [, word_fingerprint long]) for every row of docs.
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
+    """(id_col, fingerprint long) for every row of docs.
 
     A null or empty text has fingerprint zero. Other columns are not read, so they
-    may have any names. With words, the fingerprint of the distinct words is added.
+    may have any names.
     """
     source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"))
     kind = source.schema[0].dataType
-    ddl = f"`{id_col}` {kind.simpleString()}, fingerprint bigint" + (", word_fingerprint bigint" if words else "")
-
-    names = [id_col, "fingerprint", *(["word_fingerprint"] if words else [])]
-
-    def prints(text: str | None) -> tuple[int, ...]:
-        found = words_of(text)
-        shingles = fingerprint(shingle_hashes(found, shingle))
-        return (shingles, fingerprint(word_hashes(found))) if words else (shingles,)
+    ddl = f"`{id_col}` {kind.simpleString()}, fingerprint bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [prints(text.as_py()) for text in batch.column(1)]
-            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names) - 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+            prints = [fingerprint(shingle_hashes(words_of(text.as_py()), shingle)) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=[id_col, "fingerprint"])
 
     return source.mapInArrow(tidy(run), ddl)
 
@@ -207,24 +209,99 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 14, word_radius: int = 10, blocks: int = 12) -> DataFrame:
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A signed long for each MinHash band: equal where all values of the band are. No hashes give none."""
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    low = np.full(BANDS * BAND_VALUES, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), HASHES_AT_ONCE):
+        part = hashes[None, at : at + HASHES_AT_ONCE]
+        np.minimum(low, (part * _FACTORS[:, None] + _TERMS[:, None]).min(axis=1), out=low)
+    rows = low.astype("<u8").reshape(BANDS, BAND_VALUES)
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def _banded(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id_col, digest of the words, n_shingles distinct ones, keys of the bands) for every row of docs."""
+    source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"))
+    ddl = f"`{id_col}` {source.schema[0].dataType.simpleString()}, digest binary, n_shingles int, keys array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, sizes, keys = [], [], []
+            for text in batch.column(1):
+                words = words_of(text.as_py())
+                hashes = np.unique(shingle_hashes(words, shingle))
+                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                sizes.append(len(hashes))
+                keys.append(band_keys(hashes))
+            columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "digest", "n_shingles", "keys"])
+
+    return source.mapInArrow(tidy(run), ddl)
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Pairs (a, b) whose texts(node, text) share at least `least` of their shingles, counted exactly."""
+    sides = [texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b")]
+    both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
+    kind = both.schema["a"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(None, None), (None, None)]
+        for batch in batches:
+            near = []
+            for row in range(batch.num_rows):
+                for side in (0, 1):
+                    text = batch.column(2 + side)[row].as_py()
+                    if held[side][1] is None or text != held[side][0]:
+                        held[side] = (text, np.unique(shingle_hashes(words_of(text), shingle)))
+                x, y = held[0][1], held[1][1]
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(shared > 0 and shared / (len(x) + len(y) - shared) >= least)
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}").distinct()
+
+
+def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """(id_col, group_id) for every row of docs with an id; group_id is the smallest id
     of its group of near copies.
 
-    For groups of texts that share 0.8 or more of their five-word shingles. A Jaccard
-    similarity of 0.8 is a cosine of 0.89, at which fingerprints of shingles differ in
-    9.7 of 64 bits on average and seldom in over 14: too many for pigeonhole blocks. The
-    fingerprint of the distinct words of such a pair differs in about 4 and seldom in
-    over 10, so blocks are taken from that one, and a pair counts when its words'
-    fingerprints differ in at most `word_radius` bits and its shingles' in at most `radius`.
-    Rows with equal fingerprints of both kinds collapse to one node first.
+    Two texts are near copies if they share `least` or more of their distinct shingles of
+    `shingle` words; groups are the components of such pairs. Texts of equal words collapse
+    first. Pairs are sought among texts that agree on a MinHash band, whose chance follows
+    that very similarity wherever the texts differ, and each is counted exactly before it
+    links. In a run of one key the first member meets all others, then eight more do, and so
+    on eightfold, but only members whose groups aren't one yet: every pair of a run is
+    counted, or lies within one group already.
     """
-    prints = staged(fingerprints(docs, id_col, text_col, shingle, words=True).where(F.col(id_col).isNotNull()), "fingerprints")
-    held = prints.groupBy("word_fingerprint", "fingerprint").agg(F.min(id_col).alias("node"))
-    links = near_links(held, ["word_fingerprint", "fingerprint"], [word_radius, radius], blocks)
-    roots = connected_components(links)
-    named = held.join(roots, "node", "left").select("word_fingerprint", "fingerprint", F.coalesce("root", "node").alias("group_id"))
-    return prints.join(named, ["word_fingerprint", "fingerprint"]).select(id_col, "group_id")
+    prints = staged(_banded(docs, id_col, text_col, shingle).where(F.col(id_col).isNotNull()), "bands")
+    held = staged(prints.groupBy("digest").agg(F.min(id_col).alias("node"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")), "distinct")
+    run = Window.partitionBy("key")
+    spread = held.select(F.explode("keys").alias("key"), "node", "n").withColumn("members", F.count("*").over(run)).where("members > 1")
+    runs = staged(spread.withColumn("place", F.row_number().over(run.orderBy("node", "n"))), "runs")
+    sources = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
+    texts = staged(sources.join(runs.select("node").distinct(), "node", "left_semi"), "texts")
+    open_runs = runs.withColumn("root", F.col("node"))
+    links, roots, counted, done, more = None, None, None, 0, 1
+    while not open_runs.isEmpty():
+        heads = open_runs.where((F.col("place") > done) & (F.col("place") <= done + more)).select("key", *[F.col(c).alias(f"{c}_h") for c in ("node", "n", "place", "root")])
+        met = open_runs.join(heads, "key").where("place > place_h and root != root_h")
+        met = met.where(F.least("n", "n_h") / F.greatest("n", "n_h") >= least)
+        pairs = met.select(F.least("node", "node_h").alias("a"), F.greatest("node", "node_h").alias("b")).distinct()
+        pairs = staged(pairs if counted is None else pairs.join(counted, ["a", "b"], "left_anti"), "pairs")
+        counted = pairs if counted is None else counted.unionByName(pairs)
+        found = staged(_alike(pairs, texts, shingle, least), "links")
+        links = found if links is None else links.unionByName(found)
+        roots = connected_components(links)
+        done, more = done + more, 8 * more
+        left = runs.where(F.col("members") > done + 1).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        unlike = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+        open_runs = staged(left.join(unlike.select("key"), "key", "left_semi"), "open")
+    named = held.select("digest", "node")
+    named = named.withColumn("root", F.col("node")) if roots is None else named.join(roots, "node", "left")
+    return prints.join(named.select("digest", F.coalesce("root", "node").alias("group_id")), "digest").select(id_col, "group_id")
 
 
 def keep_one_per_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:

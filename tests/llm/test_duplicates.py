@@ -108,3 +108,26 @@ def test_keep_one_per_group_of_odd_rows(odd):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(4) == 1 and ids.count(None) == 1 and 7 not in ids and 6 in ids
     assert kept.columns == odd.columns
+
+
+def shingle_similarity(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_with_a_passage_added_or_cut(spark):
+    """Copies of similarity 0.80 to 0.90 that differ in one passage, of other words, at either end."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+    other = ["".join(rng.choices("qrstuvwxyz", k=rng.randint(2, 9))) for _ in range(3000)]
+    rows = []
+    for g in range(120):
+        words = rng.choices(vocabulary, k=rng.randint(150, 1200))
+        n = len(words) * rng.randint(11, 23) // 100
+        passage = rng.choices(other, k=n)
+        copy = (words + passage, passage + words, words[: len(words) - 4 * n // 5])[g % 3]
+        assert 0.8 <= shingle_similarity(words, copy) <= 0.92
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
+    found = {r["doc_id"]: r["group_id"] for r in simhash.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[2 * g] == 2 * g for g in range(120))
+    assert sum(found[2 * g + 1] == 2 * g for g in range(120)) >= 119
