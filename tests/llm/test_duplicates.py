@@ -131,3 +131,21 @@ def test_near_copies_with_a_passage_added_or_cut(spark):
     found = {r["doc_id"]: r["group_id"] for r in simhash.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(found[2 * g] == 2 * g for g in range(120))
     assert sum(found[2 * g + 1] == 2 * g for g in range(120)) >= 119
+
+
+def test_texts_below_the_limit_stay_apart(spark):
+    """Copies of similarity 0.60 to 0.79 by scattered edits are no near copies, alone or as a chain."""
+    rng = random.Random(13)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+    rows = []
+    for g in range(40):
+        words = rng.choices(vocabulary, k=400)
+        for copy in range(3):
+            rows.append((3 * g + copy, " ".join(words)))
+            edited = list(words)
+            while shingle_similarity(words, edited) > 0.78:
+                edited[rng.randrange(400)] = rng.choice(vocabulary)
+            assert shingle_similarity(words, edited) >= 0.6
+            words = edited
+    groups = simhash.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(groups) == len(rows) and all(r["doc_id"] == r["group_id"] for r in groups)
