@@ -32,9 +32,8 @@ def normalize_name(spark, d):
 
 @query
 def normalize_document_names(spark, d):
-    """Names with accents, ligatures and other scripts: the first line of every document."""
-    docs = t.table(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("line"))
-    return docs.select("doc_id", text.normalize_name(F.col("line")).alias("normalized"))
+    """Accents, ligatures and other scripts: the whole text of every document, as one name."""
+    return t.table(spark, d, "documents").select("doc_id", text.normalize_name(F.col("text")).alias("normalized"))
 
 
 @query
