@@ -3,7 +3,10 @@
 import re
 import unicodedata
 
+from pyspark.sql import functions as F
+
 from tessera.functions import text
+from tessera.plans import standins
 from tessera.plans.bindings import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -23,3 +26,9 @@ def test_document_names_hold_every_line(spark):
         assert found == words[: len(found)]
         ending = " " + " ".join(words[len(found) :])
         assert ending == " " or re.fullmatch("(?: (?:" + "|".join(text.CORPORATE_SUFFIXES) + "))+", ending)
+
+
+def test_participant_candidates_have_codes_that_no_record_lists(spark):
+    listed = {r["pic"] for r in standins.orgs(spark, DATA).select(F.explode("pics").alias("pic")).collect()}
+    found = {r["pic"] for r in QUERIES["participant_candidates"](spark, DATA).select("pic").collect()}
+    assert found and not found & listed
