@@ -11,20 +11,24 @@ keeps every component whole while a group of thousands of near copies costs abou
 as many rows as it has members. Copies with equal fingerprints are collapsed before
 the keys are made.
 
-Near-duplicate groups (near_duplicate_groups) go by the share of equal shingles itself:
-candidates agree on a MinHash band, and every link is counted exactly.
+Near-duplicate groups (near_duplicate_groups) are of texts that share 0.8 of their shingles
+or more. Such texts differ in up to 15 % of the bits, too many for 64 bits and whole choices
+of ranges: their fingerprints are wider, and cut into so many blocks that a pair at the
+limit shares one almost surely. Hamming distance verifies, and every link is counted exactly.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import staged, tidy
@@ -35,11 +39,17 @@ SEED = 42
 BITS_AT_ONCE = 1 << 16
 #: Runs up to this long are compared as one matrix.
 MATRIX_RUN = 256
-#: Texts that share 0.8 of their shingles agree on one of 16 bands of 4 values with a chance of 0.9998.
-BANDS, BAND_VALUES = 16, 4
-#: Shingle hashes that meet all MinHash functions at once.
-HASHES_AT_ONCE = 1 << 12
-_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_VALUES), np.uint64)
+#: Parts in which the members of a component meet its smallest id.
+SALTS = 64
+#: Part of the bits in which texts differ that share 0.8 of their shingles: their angle is
+#: acos(2 * 0.8 / 1.8) where they are of one size, less where they aren't.
+LIMIT_BITS = math.acos(2 * 0.8 / 1.8) / math.pi
+#: Part of such pairs that share a block, and unrelated texts a value of a block.
+RECALL, CHANCE_ROWS = 0.98, 128
+#: Bits of a wide fingerprint at least, so that the distance of all of them tells pairs apart.
+LEAST_BITS = 512
+#: What a hash is mixed with for each word of a wide fingerprint, up to 65,536 bits.
+_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 64, (2, 1024), np.uint64)
 _FACTORS, _TERMS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
 
 
@@ -199,9 +209,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held = prints.where(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("low__"))
     nodes = held.select(F.col("fingerprint").alias("node"), "fingerprint")
     roots = connected_components(near_links(nodes, ["fingerprint"], [radius], blocks))
-    rooted = held.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    smallest = rooted.groupBy("root").agg(F.min("low__").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fingerprint", "component_id")
+    # only fingerprints with a link have a root; a large component's members meet it in SALTS parts
+    members = held.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint")
+    smallest = members.groupBy("root").agg(F.min("low__").alias("component_id"))
+    salted = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = members.withColumn("salt", F.pmod(F.xxhash64("fingerprint"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"])
+    linked = joined.select("fingerprint", "component_id")
+    named = linked.unionByName(held.join(roots.select(F.col("node").alias("fingerprint")), "fingerprint", "left_anti").select("fingerprint", F.col("low__").alias("component_id")))
     return prints.join(named, "fingerprint", "left").select(
         id_col,
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
@@ -209,42 +223,115 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A signed long for each MinHash band: equal where all values of the band are. No hashes give none."""
-    if not len(hashes):
-        return np.empty(0, np.int64)
-    low = np.full(BANDS * BAND_VALUES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), HASHES_AT_ONCE):
-        part = hashes[None, at : at + HASHES_AT_ONCE]
-        np.minimum(low, (part * _FACTORS[:, None] + _TERMS[:, None]).min(axis=1), out=low)
-    rows = low.astype("<u8").reshape(BANDS, BAND_VALUES)
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(rows)], np.uint64).view(np.int64)
+def block_plan(n: int) -> tuple[int, int]:
+    """(blocks, bits a block) of the wide fingerprints of n texts.
 
-
-def _banded(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id_col, digest of the words, n_shingles distinct ones, keys of the bands) for every row of docs."""
+    A block gains a bit with each doubling of the corpus, so that its values are shared by
+    CHANCE_ROWS unrelated texts on average at every size; there are as many blocks as let a
+    pair at the limit share one with a probability of RECALL. Their number, and with it the
+    comparisons a text, grows with n ** 0.23, not with n.
+    """
+    bits = max(4, math.ceil(math.log2(max(n, 2) / CHANCE_ROWS)))
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - LIMIT_BITS) ** bits)), bits
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int) -> bytes:
+    """SimHash of 64 * words bits: each hash is mixed with a number a word, and a bit is 1 if
+    it is set in over half of what comes out."""
+    ones = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), 255):
+        mixed = (hashes[at : at + 255, None] ^ _TERMS[:words]) * _FACTORS[:words]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(len(mixed), -1), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
+
+
+def _wide_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, words: int) -> DataFrame:
+    """(id_col, digest of the words, n distinct shingles, wide binary) for every row of docs."""
     source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"))
-    ddl = f"`{id_col}` {source.schema[0].dataType.simpleString()}, digest binary, n_shingles int, keys array<bigint>"
+    ddl = f"`{id_col}` {source.schema[0].dataType.simpleString()}, digest binary, n int, wide binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, sizes, keys = [], [], []
+            digests, sizes, wide = [], [], []
             for text in batch.column(1):
-                words = words_of(text.as_py())
-                hashes = np.unique(shingle_hashes(words, shingle))
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                found = words_of(text.as_py())
+                hashes = np.unique(shingle_hashes(found, shingle))
+                digests.append(hashlib.blake2b(b" ".join(found), digest_size=16).digest())
                 sizes.append(len(hashes))
-                keys.append(band_keys(hashes))
-            columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "digest", "n_shingles", "keys"])
+                wide.append(wide_fingerprint(hashes, words))
+            columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(wide, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "digest", "n", "wide"])
 
     return source.mapInArrow(tidy(run), ddl)
 
 
+def block_rows(held: DataFrame, blocks: int, bits: int) -> DataFrame:
+    """(key, node, f0, f1): a row a block of held(node, n, wide); f0 and f1 are the first 128
+    bits. Texts without shingles have none."""
+    powers = 1 << np.arange(bits, dtype=np.int64)
+    kind = held.schema["node"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                cut = np.unpackbits(rows, axis=1, bitorder="little")[:, : blocks * bits].reshape(-1, blocks, bits)
+                keys = (cut @ powers) | (np.arange(blocks, dtype=np.int64) << bits)
+                first = rows[:, :16].copy().view("<i8")
+                nodes = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), blocks)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), nodes, *(pa.array(np.repeat(first[:, k], blocks)) for k in (0, 1))], names=["key", "node", "f0", "f1"])
+
+    return held.where("n > 0").select("node", "wide").mapInArrow(tidy(run), f"key bigint, node {kind}, f0 bigint, f1 bigint")
+
+
+def _first_bits(held: DataFrame) -> DataFrame:
+    """(node, f0, f1) of held(node, wide)."""
+    part = lambda k: F.conv(F.hex(F.reverse(F.substring("wide", 8 * k + 1, 8))), 16, -10).cast("long").alias(f"f{k}")
+    return held.select("node", part(0), part(1))
+
+
+def radius_of(bits: int) -> int:
+    """Bits in which pairs at the limit differ, with 3.5 standard deviations added."""
+    return math.ceil(bits * LIMIT_BITS + 3.5 * math.sqrt(bits * LIMIT_BITS * (1 - LIMIT_BITS)))
+
+
+def _meet(rows: DataFrame, heads: DataFrame, also: Column | None = None) -> DataFrame:
+    """Distinct pairs (a < b) of rows and heads(key, node, f0, f1, ...) that share a key and are
+    within the radius on 128 bits."""
+    heads = heads.select("key", *[F.col(c).alias(f"{c}_h") for c in heads.columns if c != "key"])
+    differ = F.bit_count(F.col("f0").bitwiseXOR(F.col("f0_h"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("f1_h")))
+    met = rows.join(heads, "key").where((F.col("node") != F.col("node_h")) & (differ <= radius_of(128)))
+    met = met if also is None else met.where(also)
+    return met.select(F.least("node", "node_h").alias("a"), F.greatest("node", "node_h").alias("b")).distinct()
+
+
+def _near(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs whose whole fingerprints are within the radius."""
+    sides = [held.select(F.col("node").alias(x), F.col("wide").alias(f"wide_{x}")) for x in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "wide_a", "wide_b")
+    kind = both.schema["a"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u8").reshape(batch.num_rows, -1) for k in (2, 3))
+                near = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= radius_of(64 * a.shape[1])
+                yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}").distinct()
+
+
 def _alike(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Pairs (a, b) whose texts(node, text) share at least `least` of their shingles, counted exactly."""
-    sides = [texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b")]
-    both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
+    """Pairs (a, b) whose texts(node, text) share at least `least` of their shingles, counted
+    exactly. The larger ends' texts travel to the smaller ends: the end of many pairs is the
+    smallest of its group, whose own text is then not repeated in a shuffle."""
+    sides = {x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b")}
+    both = pairs.select("a", "b").join(sides["b"], "b").join(sides["a"], "a").select("a", "b", "text_a", "text_b")
     kind = both.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,47 +357,69 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Two texts are near copies if they share `least` or more of their distinct shingles of
     `shingle` words; groups are the components of such pairs. Texts of equal words collapse
-    first. Pairs are sought among texts that agree on a MinHash band, whose chance follows
-    that very similarity wherever the texts differ, and each is counted exactly before it
-    links. In a run of one key the first member meets all others, then eight more do, and so
-    on eightfold, but only members whose groups aren't one yet: every pair of a run is
-    counted, or lies within one group already.
+    first, so repeated rows and exact copies are one text. Null and empty texts are copies of
+    each other and of nothing else. An empty table gives an empty table.
+
+    The wide fingerprint is cut into blocks (block_plan). Texts that share a block are
+    compared by Hamming distance, on 128 bits where they meet and then on all, within a radius
+    that loses no pair at the limit but by 3.5 standard deviations; what is left is counted
+    exactly before it links. A pair at the limit shares a block with a probability of RECALL,
+    a closer pair with a higher one. LIMIT_BITS belongs to `least` of 0.8.
+
+    In a run of one block's value the smallest id meets all others first, and every text's
+    smallest near one of those is counted. After that, members whose group isn't that of the
+    run's smallest id meet all members of other groups: each pair of a run is compared, or lies
+    within one group. Of the pairs so found, again each text's smallest is counted first, and
+    then those whose groups still differ. Runs are counted by partial aggregation and met by
+    joins that AQE splits, without a window or a sort of a whole run, so that one value may
+    belong to a third of all texts.
     """
-    prints = staged(_banded(docs, id_col, text_col, shingle).where(F.col(id_col).isNotNull()), "bands")
-    held = staged(prints.groupBy("digest").agg(F.min(id_col).alias("node"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")), "distinct")
-    run = Window.partitionBy("key")
-    spread = held.select(F.explode("keys").alias("key"), "node", "n").withColumn("members", F.count("*").over(run)).where("members > 1")
-    runs = staged(spread.withColumn("place", F.row_number().over(run.orderBy("node", "n"))), "runs")
+    blocks, bits = block_plan(docs.count())
+    words = -(-max(blocks * bits, LEAST_BITS) // 64)
+    prints = staged(_wide_prints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, words), "prints")
+    held = staged(prints.groupBy("digest").agg(F.min(id_col).alias("node"), F.first("n").alias("n"), F.first("wide").alias("wide")), "distinct")
     sources = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
-    texts = staged(sources.join(runs.select("node").distinct(), "node", "left_semi"), "texts")
-    open_runs = runs.withColumn("root", F.col("node"))
-    links, roots, counted, done, more = None, None, None, 0, 1
-    while not open_runs.isEmpty():
-        heads = open_runs.where((F.col("place") > done) & (F.col("place") <= done + more)).select("key", *[F.col(c).alias(f"{c}_h") for c in ("node", "n", "place", "root")])
-        met = open_runs.join(heads, "key").where("place > place_h and root != root_h")
-        met = met.where(F.least("n", "n_h") / F.greatest("n", "n_h") >= least)
-        pairs = met.select(F.least("node", "node_h").alias("a"), F.greatest("node", "node_h").alias("b")).distinct()
-        pairs = staged(pairs if counted is None else pairs.join(counted, ["a", "b"], "left_anti"), "pairs")
-        counted = pairs if counted is None else counted.unionByName(pairs)
-        found = staged(_alike(pairs, texts, shingle, least), "links")
-        links = found if links is None else links.unionByName(found)
-        roots = connected_components(links)
-        done, more = done + more, 8 * more
-        left = runs.where(F.col("members") > done + 1).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        unlike = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        open_runs = staged(left.join(unlike.select("key"), "key", "left_semi"), "open")
-    named = held.select("digest", "node")
-    named = named.withColumn("root", F.col("node")) if roots is None else named.join(roots, "node", "left")
-    return prints.join(named.select("digest", F.coalesce("root", "node").alias("group_id")), "digest").select(id_col, "group_id")
+    counted, links, roots = [], [], None
+
+    def count(pairs: DataFrame) -> None:
+        """Count pairs exactly, and take up the links found."""
+        nonlocal roots
+        pairs = staged(pairs, "pairs")
+        needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        counted.append(pairs)
+        links.append(staged(_alike(pairs, sources.join(needed, "node", "left_semi"), shingle, least), "links"))
+        roots = staged(connected_components(reduce(DataFrame.unionByName, links)), "roots")
+
+    def rooted(rows: DataFrame, column: str, name: str) -> DataFrame:
+        known = roots.select(F.col("node").alias(column), F.col("root").alias(name))
+        return rows.join(known, column, "left").withColumn(name, F.coalesce(name, column))
+
+    rows = block_rows(held, blocks, bits)
+    runs = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("node")).where("members > 1").select("key", "node")
+    first = staged(runs.join(_first_bits(held), "node"), "runs")
+    rows = staged(rows.join(first.select("key"), "key", "left_semi"), "rows")
+    near = staged(_near(_meet(rows, first), held), "near")
+    count(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    members = rooted(rows, "node", "root").join(rooted(first.select("key", F.col("node").alias("first")), "first", "lead").drop("first"), "key")
+    heads = members.where("root != lead").drop("lead")
+    pairs = _meet(members.drop("lead"), heads, F.col("root") != F.col("root_h"))
+    near = staged(_near(pairs, held).join(counted[0], ["a", "b"], "left_anti"), "near")
+    count(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    apart = rooted(rooted(near, "a", "root_a"), "b", "root_b").where("root_a != root_b").select("a", "b")
+    count(apart.join(counted[1], ["a", "b"], "left_anti"))
+    named = rooted(held.select("digest", "node"), "node", "group_id")
+    return prints.join(named.select("digest", "group_id"), "digest").select(id_col, "group_id")
 
 
 def keep_one_per_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs that are the smallest id of their group, unchanged; rows with a
-    null id stay. If rows repeat an id with equal contents one of them stays."""
+    """The rows of docs that are the smallest id of their group, unchanged. If rows repeat an
+    id with equal contents one of them stays. Rows with a null id stay, but of those that are
+    equal in all columns one does."""
     gone = groups.where(F.col(id_col) != F.col("group_id")).select(id_col).distinct()
     repeated = groups.groupBy(id_col).count().where("count > 1").select(id_col)
-    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    named = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").select(docs.columns)
+    nameless = docs.where(F.col(id_col).isNull()).dropDuplicates()
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, id_col, "left_semi").select(docs.columns).dropDuplicates()
-    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(once)
+        return named.unionByName(nameless)
+    once = named.join(repeated, id_col, "left_semi").select(docs.columns).dropDuplicates()
+    return named.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(once).unionByName(nameless)
