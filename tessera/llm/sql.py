@@ -46,10 +46,10 @@ _MIX = f"""with d as (select doc_id, ['{"', '".join(q.DOMAINS)}'][(strpos('01234
     select doc_id, domain, lang, source, n_tokens, epoch from e where epoch < whole
     union all select doc_id, domain, lang, source, n_tokens, epoch from p where run <= rest"""
 
-_TOPK = """with v as (select distinct vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as c from embeddings
+_TOPK = """with v as (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as c from embeddings
         where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-    s as (select a.vec_id as query_id, b.vec_id, cast(list_dot_product(cast(a.c as double[]), cast(b.c as double[])) as bigint) as score from v a join v b on a.vec_id <> b.vec_id and len(a.c) = len(b.c) where a.vec_id % 100 = 0)
-    select query_id, cast(n as integer) as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s) where n <= 10"""
+    s as (select a.r, b.r as other, a.vec_id as query_id, b.vec_id, cast(list_dot_product(cast(a.c as double[]), cast(b.c as double[])) as bigint) as score from v a join v b on a.r <> b.r and len(a.c) = len(b.c) where a.vec_id % 100 = 0)
+    select query_id, cast(n as integer) as rank, vec_id, score from (select *, row_number() over (partition by r order by score desc, vec_id, other) as n from s) where n <= 10"""
 
 
 def _page_text() -> str:

@@ -98,13 +98,13 @@ def test_mix_takes_prefixes_of_epochs(spark):
 
 
 def brute_topk(rows, k):
-    vectors = {(i, tuple(int(np.floor(1024 * float(x))) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
-    out = set()
-    for q, a in vectors:
+    vectors = [(n, i, [int(np.floor(1024 * float(x))) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for n, q, a in vectors:
         if q % 100 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in vectors if i != q and len(b) == len(a))[:k]
-            out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)}
-    return out
+            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for m, i, b in vectors if m != n and len(b) == len(a))[:k]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("tile", [5, 8192])
@@ -112,17 +112,26 @@ def test_topk_against_brute_force(spark, tile):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=20)]) for i in range(250)]
     rows += [(i, rows[7][1]) for i in range(300, 340)]  # ties
-    rows += [rows[5], (400, [1.0] * 3), (500, [2.0] * 3), (501, None), (502, [None] * 20), (503, [float("nan")] * 20), (504, [float("inf")] * 20), (None, rows[0][1]), (600, [])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    rows += [rows[5], rows[5], rows[100], (200, rows[9][1])]  # repeated rows, a repeated query, a query's id with another vector
+    rows += [(400, [1.0] * 3), (500, [2.0] * 3), (501, None), (502, [None] * 20), (503, [float("nan")] * 20), (504, [float("inf")] * 20), (None, rows[0][1]), (600, [])]
+    df = spark.createDataFrame([(*r, "?", "?") for r in rows], "vec_id long, embedding array<double>, v string, row string")
     found = topk.exact_topk(topk.integer_vectors(df, "vec_id", "embedding"), F.col("id") % 100 == 0, 10, tile=tile, query_tile=3)
-    assert {tuple(r) for r in found.collect()} == brute_topk(rows, 10)
+    assert sorted(tuple(r) for r in found.collect()) == brute_topk(rows, 10)
     assert topk.exact_topk(topk.integer_vectors(df.limit(0), "vec_id", "embedding"), F.col("id") % 100 == 0).collect() == []
 
 
+def test_topk_counts_every_copy(spark):
+    """Rows repeated in full are due each, as is a copy of the query's own row."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (0, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.exact_topk(topk.integer_vectors(df, "vec_id", "embedding"), F.col("id") % 100 == 0, 10).collect()
+    assert sorted(r["vec_id"] for r in found) == [0, 0, 1, 1, 1, 1, 1, 1]
+
+
 def test_topk_of_large_numbers():
     rng = np.random.default_rng(2)
     rows = rng.integers(-(1 << 28), 1 << 28, (50, 40))
-    got = sorted(topk.tile_topk(np.arange(100, 105), rows[:5], np.arange(50), rows, 3))
+    got = sorted(topk.tile_topk(np.arange(100, 105), rows[:5], np.arange(50), np.arange(50), rows, 3))
     expected = []
     for q in range(5):
         scores = sorted((-sum(int(a) * int(b) for a, b in zip(rows[q], rows[i], strict=True)), i) for i in range(50))[:3]
