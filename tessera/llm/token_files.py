@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -67,14 +68,18 @@ class WordEncoder:
     """Ids of texts by a tokenizers file, each distinct word encoded once while it is
     remembered. Words are the matches of the byte-level split pattern, within which all
     merges happen, so a text's ids are its words' ids in a row. A tokenizer that isn't
-    byte-level, or normalizes, encodes texts as a whole."""
+    byte-level, or normalizes, encodes texts as a whole, and so does any for a text that
+    holds the spelling of one of its added tokens (such as an end mark), which then gives that
+    token's id. special_as_text takes such spellings for ordinary text instead."""
 
-    def __init__(self, tokenizer_json: str, pattern: str | None):
+    def __init__(self, tokenizer_json: str, pattern: str | None, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)), key=len, reverse=True)
+        self.holds_added = re.compile("|".join(map(re.escape, added))).search if added else None
         split = self.tokenizer.pre_tokenizer
         by_word = pattern and self.tokenizer.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space
         self.find = splitter(pattern) if by_word else None
@@ -88,12 +93,17 @@ class WordEncoder:
             return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > MEMORY_WORDS:
             self.known.clear()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, self.find(t))), np.uint32) for t in texts]
+        return [self._by_word(t) for t in texts]
+
+    def _by_word(self, text: str) -> np.ndarray:
+        if self.holds_added and self.holds_added(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.find(text))), np.uint32)
 
 
 @lru_cache(maxsize=2)
-def _word_encoder(tokenizer_json: str, pattern: str | None) -> WordEncoder:
-    return WordEncoder(tokenizer_json, pattern)
+def _word_encoder(tokenizer_json: str, pattern: str | None, special_as_text: bool = False) -> WordEncoder:
+    return WordEncoder(tokenizer_json, pattern, special_as_text)
 
 
 def load_tokenizer(path: str) -> str:
@@ -122,26 +132,29 @@ def _batches_of(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iter
         yield first, held
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, pattern: str | None, end_id: int, width: int, text_col: str = "text") -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer: str, pattern: str | None, end_id: int, width: int, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> bytes:
     """A zstandard dictionary trained on serialized ids of at most SAMPLE_DOCS documents.
 
-    The sample is taken by a hash of the text; of each, at most SAMPLE_IDS ids evenly
-    spread over the document are used, which bounds what reaches the driver. Too small a
+    The sample are the documents whose ids have the smallest hashes, found in the ids alone;
+    rows with one id give one. Of each, at most SAMPLE_IDS ids evenly spread over the document
+    are used, cut where they are encoded, which bounds what reaches the driver. Too small a
     sample gives an empty dictionary.
     """
-    order = F.xxhash64(F.lit("dictionary"), F.col(text_col))
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), order.alias("order__")).orderBy("order__").limit(SAMPLE_DOCS).select("text")
+    order = F.xxhash64(F.lit("dictionary"), F.col(id_col))
+    last = docs.select(order.alias("order__")).orderBy("order__").limit(SAMPLE_DOCS).agg(F.max("order__")).first()[0]
+    texts = docs.select(order.alias("order__"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull() & (F.col("order__") <= F.lit(last)))
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches):
-        encode = _word_encoder(shared.value, pattern)
+        encode = _word_encoder(shared.value, pattern, special_as_text)
         for batch in batches:
-            for _, held in _batches_of(batch, 0):
+            for first, held in _batches_of(batch, 1):
                 ids = [np.append(i, np.uint32(end_id)) for i in encode(held)]
                 ids = [i if len(i) <= SAMPLE_IDS else np.concatenate([i[s : s + SAMPLE_IDS // 10] for s in np.linspace(0, len(i) - SAMPLE_IDS // 10, 10).astype(int)]) for i in ids]
-                yield pa.RecordBatch.from_arrays([pa.array([serialize(i, width) for i in ids], pa.binary())], names=["ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ids)), pa.array([serialize(i, width) for i in ids], pa.binary())], names=["order__", "ids"])
 
-    samples = [bytes(r[0]) for r in texts.mapInArrow(tidy(run), "ids binary").collect()]
+    sample = texts.mapInArrow(tidy(run), "order__ bigint, ids binary").groupBy("order__").agg(F.min("ids").alias("ids"))
+    samples = [bytes(r["ids"]) for r in sample.orderBy("order__").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -152,16 +165,18 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, pattern: str | None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, pattern: str | None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", width: int = 2, special_as_text: bool = False) -> None:
     """Encode every whole text, append end_id, and write the files in ascending id order.
 
     Null texts count as empty, so every row gives a document of at least one id.
     Rows with equal ids follow each other, by a hash of the text; null ids come first.
-    `width` is the bytes of a stored id: 2 for vocabularies up to 65,536, else 4.
+    `width` is the bytes of a stored id: 2 for vocabularies up to 65,536, else 4. Ids are those
+    of the library as it loads the file, without special tokens added: a text that spells an
+    added token has its id there. special_as_text encodes such spellings as text.
     """
     spark = docs.sparkSession
     tokenizer = load_tokenizer(tokenizer_path)
-    dictionary = train_dictionary(docs, tokenizer, pattern, end_id, width, text_col)
+    dictionary = train_dictionary(docs, tokenizer, pattern, end_id, width, id_col, text_col, special_as_text)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary), width)], "dict_hash string, dictionary binary, width int").write.parquet(f"{path}/dictionary")
     shared = spark.sparkContext.broadcast((tokenizer, dictionary))
@@ -176,7 +191,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, pattern:
 
     def shards(batches):
         tokenizer, dictionary = shared.value
-        encode, part, shard = _word_encoder(tokenizer, pattern), TaskContext.get().partitionId(), 0
+        encode, part, shard = _word_encoder(tokenizer, pattern, special_as_text), TaskContext.get().partitionId(), 0
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         keys, frames, counts, size = [], [], [], 0
         for batch in batches:

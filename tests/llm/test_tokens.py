@@ -64,12 +64,18 @@ def test_token_table(spark):
     assert bpe.token_table(spark, RANKS).count() == 50256
 
 
-def test_token_files(spark, odd, documents, tmp_path):
+MARKED = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>b <|endoftext", " <|ENDOFTEXT|> "]
+
+
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_token_files(spark, odd, documents, tmp_path, special_as_text):
     whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
-    for name, df in (("odd", odd), ("documents", documents)):
+    if special_as_text:
+        whole.encode_special_tokens = True
+    marked = spark.createDataFrame(list(enumerate(MARKED)), "doc_id long, text string")
+    for name, df in (("odd", odd), ("documents", documents), ("marked", marked)):
         path = str(tmp_path / name)
-        token_files.write_token_files(df, path, P.path("byte_bpe_50k.json"), P.PATTERN)
+        token_files.write_token_files(df, path, P.path("byte_bpe_50k.json"), P.PATTERN, special_as_text=special_as_text)
         got = token_files.read_token_files(spark, path).orderBy("start").collect()
         texts = df.select("doc_id", "text").collect()
         assert len(got) == len(texts)
