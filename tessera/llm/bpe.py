@@ -44,8 +44,10 @@ from tessera.llm.pretoken import splitter
 BLOCK_BYTES = 16 << 20
 #: Bytes of text whose position lists share a row.
 CHUNK_BYTES = 1 << 20
-#: Hash buckets that words are shuffled in; one bucket's distinct words are held in memory.
-BUCKETS = 1024
+#: Hash buckets that words are shuffled in: so many at least and at most, and so many an input
+#: partition. A task holds its bucket's words, up to MEMORY_WORDS; beyond, it begins anew, and a
+#: word may be encoded again.
+BUCKETS, MAX_BUCKETS, PARTITION_BUCKETS, MEMORY_WORDS = 1024, 1 << 16, 16, 1 << 20
 #: Largest vocabulary file that is broadcast.
 MAX_VOCABULARY_BYTES = 64 << 20
 WORDS, DOCS = 0, 1
@@ -209,6 +211,8 @@ def _encode_words(pattern: str, ranks, schema: pa.Schema):
                 for start, end in zip([0, *ends], ends, strict=False):
                     word = blob[start:end]
                     if word not in known:
+                        if len(known) >= MEMORY_WORDS:
+                            known = {}
                         known[word] = encode(word.decode("utf-8", "surrogatepass"))
                     ids.append(known[word])
                 counts = np.fromiter(map(len, ids), np.uint32, len(ids))
@@ -264,7 +268,7 @@ def _table(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.concatenate([flat for _, _, flat in parts]) if parts else np.empty(0, np.uint32)), starts, lengths
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, buckets: int = BUCKETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, buckets: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id_col, n_tokens long, ids binary [, decoded binary]) for every row of docs; ids
     are little-endian unsigned 32-bit numbers.
 
@@ -272,6 +276,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
     repeated or null ids give a row each. Other columns are not read. An empty table
     gives an empty table. Documents are dealt to blocks by input partition, so the
     input should be a scan or a written table, which a retry reads in the same order.
+    buckets follow the number of input partitions unless given.
     decoded adds what the ids decode to, by the token-byte table, in the task that has
     put them together.
     """
@@ -279,6 +284,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
 
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"), F.spark_partition_id().alias("part__"))
+    buckets = buckets or min(MAX_BUCKETS, max(BUCKETS, PARTITION_BUCKETS * source._jdf.queryExecution().toRdd().getNumPartitions()))
     kind = source.schema[0].dataType
     packed, ddl = _schema(to_arrow_type(kind)), _ROW.format(id=kind.simpleString())
     ranks = load_ranks(vocabulary)

@@ -30,8 +30,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session names none (tests on one machine) is a temporary
-    folder made, and set as the checkpoint folder for this session.
+    Where the session names none, a temporary folder is made and set as this session's
+    checkpoint folder, but only where all runs on one machine; a cluster must name one.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -39,14 +39,38 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured and current.isDefined():
         return current.get().rstrip("/")
     if not configured:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tessera-")
     if not current.isDefined():
         context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+#: Folders of intermediate tables made in this process, in order.
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tessera-{uuid.uuid4().hex}/{label}"
+    folder = f"{shared_dir(spark)}/tessera-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    _made.append(folder)
+    return f"{folder}/{label}"
+
+
+def scratch_mark() -> int:
+    """Where the list of intermediate tables stands, for drop_scratch."""
+    return len(_made)
+
+
+def drop_scratch(spark: SparkSession, mark: int, keep: str) -> None:
+    """Delete the intermediate tables made since mark, but for the one that holds `keep`:
+    what depends on them must have been written by then."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in _made[mark:]:
+        if not keep.startswith(folder + "/"):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+    _made[mark:] = [f for f in _made[mark:] if keep.startswith(f + "/")]
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -100,8 +100,7 @@ def beta_prior(docs: float, failed: float, square: float, hosts: int) -> tuple[f
     mean, average = failed / docs, docs / hosts
     chance = mean * (1 - mean)
     between = square / docs - mean * mean - chance * hosts / docs
-    strength = max(chance / between - 1, 2.0) if between > 0 else max(average, 2.0)
-    return mean, min(strength, max(average, 2.0))
+    return mean, max(chance / between - 1, 2.0) if between > 0 else max(average, 2.0)
 
 
 def host_verdicts(judged: DataFrame, host_col: str = "host", failed_col: str = "failed") -> DataFrame:

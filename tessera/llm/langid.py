@@ -19,14 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from tessera.llm.common import tidy
+from tessera.llm.common import staged, tidy
 
 BUCKET_BITS, SIZE, GRAMS = 15, 16, (1, 2, 3, 4)
 #: Labelled rows that training reads at most (in expectation), over all languages.
-MAX_TRAINING_ROWS = 2000
-#: Windows a training row gives, spread over its whole text, and their n-gram positions.
-WINDOWS, WINDOW = 6, 96
-EPOCHS, RATE = 6, 0.6
+MAX_TRAINING_ROWS = 1600
+#: Parts that the whole text of a training row is cut into at most, and characters of a part at least.
+PARTS, PART = 6, 96
+EPOCHS, RATE = 5, 0.6
+#: Characters of a text whose n-grams are held at once.
+PIECE = 1 << 16
 #: Precision that accepted rows should have.
 PRECISION = 0.99
 
@@ -46,18 +48,27 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def code_points(text: str) -> np.ndarray:
-    """Lower-cased letters, each other run as one space, a space at either end."""
-    points = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[points]
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]
-    keep[0] = True
-    return np.where(letter, points, np.uint32(32))[keep]
-
-
-def gram_buckets(points: np.ndarray) -> list[np.ndarray]:
-    """Bucket of the n-gram at each position, an array for each n."""
+def point_pieces(text: str) -> Iterator[tuple[np.ndarray, int]]:
+    """(code points, how many of them were in the piece before) of pieces of a text: lower-cased
+    letters, each other run as one space, a space at either end of the text. A piece starts with
+    as many old points as an n-gram may reach back."""
+    tail = np.array([32], np.uint32)
+    for at in range(0, len(text), PIECE):
+        points = np.frombuffer(text[at : at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = _letters()[points]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= tail[-1] != 32
+        points = np.where(letter, points, np.uint32(32))[keep]
+        if at + PIECE >= len(text) and (points[-1] if len(points) else tail[-1]) != 32:
+            points = np.append(points, np.uint32(32))
+        whole = np.concatenate([tail, points])
+        yield whole, len(tail) if at else 0
+        tail = whole[-(max(GRAMS) - 1) :]
+
+
+def gram_buckets(points: np.ndarray, old: int = 0) -> list[np.ndarray]:
+    """Bucket of each n-gram that doesn't lie within the first `old` points, an array for each n."""
     out = []
     value = np.zeros(len(points), np.uint32)
     for n in range(1, max(GRAMS) + 1):
@@ -66,10 +77,20 @@ def gram_buckets(points: np.ndarray) -> list[np.ndarray]:
         value = (value[: len(points) - n + 1] ^ points[n - 1 :]) * _MULTIPLIERS[n - 1]
         value ^= value >> np.uint32(13)
         if n in GRAMS:
-            out.append((value * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BUCKET_BITS))
+            out.append(((value * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BUCKET_BITS))[max(0, old - n + 1) :])
     return out
 
 
+def bag_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, counts) of all n-grams of a text."""
+    total = np.zeros(1 << BUCKET_BITS, np.int64)
+    for points, old in point_pieces(text):
+        for buckets in gram_buckets(points, old):
+            total += np.bincount(buckets, minlength=len(total))
+    held = np.flatnonzero(total)
+    return held, total[held]
+
+
 @dataclass
 class LanguageModel:
     """Scores by bucket (embeddings times weights), bias, languages, temperature and the
@@ -81,23 +102,33 @@ class LanguageModel:
     temperature: float
     accept: float
 
-    def logits(self, buckets: list[np.ndarray]) -> np.ndarray:
-        total = sum(np.take(self.table, b, axis=0).sum(axis=0, dtype=np.float64) for b in buckets)
-        return total / max(1, sum(map(len, buckets))) + self.bias
+    def logits(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return counts @ self.table[buckets] / max(1, counts.sum()) + self.bias
+
+    def text_logits(self, text: str) -> np.ndarray:
+        """Logits of a whole text, a piece at a time."""
+        total, n = np.zeros(len(self.languages)), 0
+        for points, old in point_pieces(text):
+            for buckets in gram_buckets(points, old):
+                total += np.take(self.table, buckets, axis=0).sum(axis=0, dtype=np.float64)
+                n += len(buckets)
+        return total / max(1, n) + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, accepted); ('und', 0, False) for a text without a letter."""
         if not has_letter(text):
             return "und", 0.0, False
-        scaled = self.logits(gram_buckets(code_points(text))) / self.temperature
+        scaled = self.text_logits(text) / self.temperature
         odds = np.exp(scaled - scaled.max())
         best = int(odds.argmax())
         score = float(odds[best] / odds.sum())
         return self.languages[best], score, score >= self.accept
 
 
-def training_windows(rows: DataFrame, text_col: str, label_col: str) -> DataFrame:
-    """(label, fold, buckets binary) of windows at evenly spread places of each text."""
+def training_parts(rows: DataFrame, text_col: str, label_col: str) -> DataFrame:
+    """(label, fold, buckets binary, counts binary) of the parts that each whole text is cut into:
+    every character is in one. A part gives its n-grams counted by bucket, so its size is bounded
+    by the number of buckets however long the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,33 +136,35 @@ def training_windows(rows: DataFrame, text_col: str, label_col: str) -> DataFram
             for text, label, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not has_letter(text):
                     continue
-                points = code_points(text)
-                places = np.unique(np.linspace(0, max(0, len(points) - WINDOW), WINDOWS).astype(int))
-                out += [(label, fold, np.concatenate(gram_buckets(points[p : p + WINDOW])).astype("<u2").tobytes()) for p in places]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary()))], names=["label", "fold", "buckets"])
+                size = max(PART, -(-len(text) // PARTS))
+                for at in range(0, len(text), size):
+                    buckets, counts = bag_of(text[at : at + size])
+                    out.append((label, fold, buckets.astype("<u2").tobytes(), counts.astype("<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary(), pa.binary()))], names=["label", "fold", "buckets", "counts"])
 
-    return rows.select(F.col(text_col).cast("string"), F.col(label_col), F.col("fold__")).mapInArrow(tidy(run), "label string, fold int, buckets binary")
+    return rows.select(F.col(text_col).cast("string"), F.col(label_col), F.col("fold__")).mapInArrow(tidy(run), "label string, fold int, buckets binary, counts binary")
 
 
-def fit(examples: list[tuple[str, int, bytes]], seed: int = 7) -> LanguageModel:
+def fit(examples: list[tuple[str, int, bytes, bytes]], seed: int = 7) -> LanguageModel:
     """Train on examples of folds other than 0 and calibrate on fold 0."""
-    languages = sorted({label for label, _, _ in examples})
+    languages = sorted({label for label, *_ in examples})
     if not languages:
         return LanguageModel(np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), [], 1.0, 1.0)
     number = {name: i for i, name in enumerate(languages)}
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1, 1, (1 << BUCKET_BITS, SIZE)) / SIZE
     weights, bias = np.zeros((len(languages), SIZE)), np.zeros(len(languages))
-    rows = [(number[label], fold, np.frombuffer(data, "<u2").astype(np.int64)) for label, fold, data in sorted(examples)]
+    rows = [(number[label], fold, np.frombuffer(buckets, "<u2").astype(np.int64), np.frombuffer(counts, "<u4").astype(np.float64)) for label, fold, buckets, counts in sorted(examples)]
     train = [r for r in rows if r[1]] or rows
     held = [r for r in rows if not r[1]] or rows
     steps, step = EPOCHS * len(train), 0
     for _ in range(EPOCHS):
         for at in rng.permutation(len(train)):
-            label, _, buckets = train[at]
+            label, _, buckets, counts = train[at]
             rate = RATE * (1 - step / steps)
             step += 1
-            mean = table[buckets].mean(axis=0)
+            part = counts / counts.sum()
+            mean = part @ table[buckets]
             odds = weights @ mean + bias
             odds = np.exp(odds - odds.max())
             error = odds / odds.sum()
@@ -139,10 +172,10 @@ def fit(examples: list[tuple[str, int, bytes]], seed: int = 7) -> LanguageModel:
             back = weights.T @ error
             weights -= rate * 4 * np.outer(error, mean)
             bias -= rate * 0.05 * error
-            np.subtract.at(table, buckets, rate * back * (4 / len(buckets)))
+            table[buckets] -= np.outer(part, rate * 4 * back)
     joined = (table @ weights.T).astype(np.float32)
     model = LanguageModel(joined, bias, languages, 1.0, 0.0)
-    return calibrate(model, [(label, model.logits([buckets])) for label, _, buckets in held])
+    return calibrate(model, [(label, model.logits(buckets, counts)) for label, _, buckets, counts in held])
 
 
 def calibrate(model: LanguageModel, held: list[tuple[int, np.ndarray]]) -> LanguageModel:
@@ -168,22 +201,21 @@ def calibrate(model: LanguageModel, held: list[tuple[int, np.ndarray]]) -> Langu
 def train_language_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", max_rows: int = MAX_TRAINING_ROWS) -> LanguageModel:
     """Fit a model on a sample of labelled rows, in equal parts by label.
 
-    The sample is drawn by a hash of the id, about max_rows / labels rows a label; each
-    row gives at most WINDOWS * WINDOW positions. That bound is what reaches the driver.
-    Rows with a null id, label or text teach nothing.
+    The sample is drawn by a hash of the id: max_rows / labels rows a label are expected, and
+    max_rows of all at most. Each row gives the n-grams of its whole text, counted by bucket in
+    PARTS parts; that bound is what reaches the driver. Rows with a null id, label or text
+    teach nothing. Any number of labels will do: their counts are a table, joined to the rows.
     """
-    rows = labelled.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
-    if not counts:
+    label = F.col(label_col).cast("string").alias("label__")
+    rows = labelled.select(F.col(id_col).alias("id__"), label, F.col(text_col).cast("string").alias("text__")).where("id__ is not null and label__ is not null and text__ is not null")
+    counts = staged(rows.groupBy("label__").agg(F.count("*").alias("n__")), "labels")
+    labels = counts.count()
+    if not labels:
         return fit([])
-    quota = max(1, max_rows // len(counts))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)
-    part = F.lit(0.0)
-    for label, n in counts.items():
-        part = F.when(F.col(label_col) == label, min(1.0, quota / n)).otherwise(part)
-    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col(id_col)), F.lit(5)).cast("int")
-    sample = rows.where(draw < part).select(text_col, F.col(label_col).cast("string").alias(label_col), fold.alias("fold__"))
-    return fit([(r[0], r[1], bytes(r[2])) for r in training_windows(sample, text_col, label_col).collect()])
+    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col("id__")), F.lit(1 << 20)) / float(1 << 20)
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("id__")), F.lit(5)).cast("int")
+    sample = rows.join(counts, "label__").where(draw * F.col("n__") < max_rows / labels).select("text__", "label__", fold.alias("fold__"))
+    return fit([(r[0], r[1], bytes(r[2]), bytes(r[3])) for r in training_parts(sample, "text__", "label__").collect()])
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -11,6 +11,7 @@ better one is suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -225,13 +226,13 @@ def detect(words: bytes) -> list[Detection]:
     found, prefilter = _compiled()
     present = {key for _, key in prefilter.iter(words.decode("latin-1"))}
     out = []
+    starts = [0, *(m.end() for m in re.finditer(b" ", words))] if present else []
     for keywords in found if present else ():
         if not present.issuperset(keywords):
             continue
         for pattern, rule in found[keywords]:
             for match in pattern.finditer(words):
-                first = words.count(b" ", 0, match.start())
-                last = first + match.group(1).count(b" ")
+                first, last = bisect_right(starts, match.start()) - 1, bisect_right(starts, match.end(1) - 1) - 1
                 out.append(Detection(rule.label, first, last, rule.priority, rule.weight, BASE.get(rule.pattern) == rule.label))
     return out
 
@@ -240,12 +241,25 @@ def resolve(found: list[Detection]) -> list[Detection]:
     """Detections that no better one contains; of equal ones the first by label stays.
 
     Better: smaller priority, then longer. What contains a detection is at least as long,
-    so one pass in order of priority and length with the intervals kept so far decides.
+    so one pass in order of priority and length decides. The furthest end of what was kept
+    from each first word on stands in a tree of prefix maxima, so a pass costs n log n.
     """
+    found = sorted(set(found), key=lambda d: (d.priority, d.first - d.last, d.first, d.label))
+    places = {first: at for at, first in enumerate(sorted({d.first for d in found}), 1)}
+    furthest = [-1] * (len(places) + 1)
     kept: list[Detection] = []
-    for d in sorted(set(found), key=lambda d: (d.priority, d.first - d.last, d.first, d.label)):
-        if not any(k.first <= d.first and d.last <= k.last for k in kept):
-            kept.append(d)
+    for d in found:
+        at, end = places[d.first], -1
+        while at:
+            end = max(end, furthest[at])
+            at &= at - 1
+        if end >= d.last:
+            continue
+        kept.append(d)
+        at = places[d.first]
+        while at < len(furthest):
+            furthest[at] = max(furthest[at], d.last)
+            at += at & -at
     return sorted(kept, key=lambda d: (d.first, d.last))
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import staged
 
 RATIO, MIN_PAGES = 0.1, 5
-#: Copies of each host's list, so that a host with a third of all pages is dealt to as many tasks.
-SALTS = 32
+#: Pages of a host that meet one copy of its list; a larger host has a copy for each so many.
+HOST_PAGES = 1 << 18
 
 #: What a page's source loses, in order: scripts, styles and comments, block tags, other tags.
 PAGE_RULES = (
@@ -54,7 +54,8 @@ def _has_word(line: Column) -> Column:
 
 
 def boilerplate_lines(lines: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, boiler array<binary>) of lines(host, lines array<string>), a row a page.
+    """(host, boiler array<binary>, copies int) of lines(host, lines array<string>), a row a
+    page; copies is how many times HOST_PAGES the host has, rounded up.
 
     A line counts once a page however often the page repeats it; blank lines never
     count. Lines on under min_pages pages of a host are never boilerplate.
@@ -63,7 +64,8 @@ def boilerplate_lines(lines: DataFrame, ratio: float = RATIO, min_pages: int = M
     held = lines.select("host", F.explode(F.array_distinct(F.filter("lines", _has_word))).alias("line"))
     counted = held.groupBy("host", _digest(F.col("line")).alias("digest")).agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages)
     over = counted.join(totals, "host").where(F.col("n_pages") > ratio * F.col("n_host_pages"))
-    return over.groupBy("host").agg(F.collect_list("digest").alias("boiler"))
+    copies = F.ceil(F.max("n_host_pages") / HOST_PAGES).cast("int")
+    return over.groupBy("host").agg(F.collect_list("digest").alias("boiler"), copies.alias("copies"))
 
 
 def drop_boilerplate(pages: DataFrame, text_col: str, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, dropped_col: str | None = None, lines_col: str | None = None) -> DataFrame:
@@ -78,10 +80,17 @@ def drop_boilerplate(pages: DataFrame, text_col: str, host: Column, ratio: float
     text = F.col(f"`{text_col}`")
     lines = F.split(text, "\n", -1)
     boiler = staged(boilerplate_lines(pages.select(host.alias("host"), F.coalesce(lines, F.array()).alias("lines")), ratio, min_pages), "boilerplate")
-    salted = boiler.select(F.col("host").alias("host__"), F.col("boiler").alias("boiler__"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt__"))
+    salted = boiler.select(F.col("host").alias("host__"), F.col("boiler").alias("boiler__"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt__"))
+    large = boiler.where("copies > 1").select(F.col("host").alias("host__"), F.col("copies").alias("copies__"))
     row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row__")
-    salt = F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")
-    joined = pages.select(row, host.alias("host__"), salt.alias("salt__")).join(salted, ["host__", "salt__"], "left").select("row__", "boiler__")
+    # pages of a large host go round its copies by their number, so that equal pages do too
+    named = pages.select(row, host.alias("host__"), F.monotonically_increasing_id().alias("number__"))
+    if not large.isEmpty():
+        named = named.join(large, "host__", "left")
+    else:
+        named = named.withColumn("copies__", F.lit(1))
+    salt = F.pmod("number__", F.coalesce("copies__", F.lit(1))).cast("int")
+    joined = named.withColumn("salt__", salt).join(salted, ["host__", "salt__"], "left").select("row__", "boiler__")
     text = F.col(f"row__.`{text_col}`")
     lines = F.split(text, "\n", -1)
     keep = F.filter(lines, lambda line: ~_has_word(line) | ~F.array_contains("boiler__", _digest(line)))

@@ -249,7 +249,7 @@ def wide_fingerprint(hashes: np.ndarray, words: int) -> bytes:
     return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
 
 
-def _wide_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, words: int) -> DataFrame:
+def wide_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, words: int) -> DataFrame:
     """(id_col, digest of the words, n distinct shingles, wide binary) for every row of docs."""
     source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"))
     ddl = f"`{id_col}` {source.schema[0].dataType.simpleString()}, digest binary, n int, wide binary"
@@ -376,7 +376,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     blocks, bits = block_plan(docs.count())
     words = -(-max(blocks * bits, LEAST_BITS) // 64)
-    prints = staged(_wide_prints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, words), "prints")
+    prints = staged(wide_prints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, words), "prints")
     held = staged(prints.groupBy("digest").agg(F.min(id_col).alias("node"), F.first("n").alias("n"), F.first("wide").alias("wide")), "distinct")
     sources = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
     counted, links, roots = [], [], None

@@ -88,7 +88,7 @@ _QUALITY = rf"""with d as (select doc_id, coalesce(source, chr(0)) as host, coal
     h as (select host, count(*) as docs, (count(*) filter (base_failed or {_soft(1.0)}))::double as bad from f group by 1),
     g as (select sum(docs)::double as n, sum(bad) / sum(docs) as mean, sum(docs * (bad / docs) * (bad / docs)) / sum(docs) as square, sum(docs)::double / count(*) as average, count(*) / sum(docs)::double as sampling from h),
     r as (select *, mean * (1 - mean) as chance, square - mean * mean - mean * (1 - mean) * sampling as between_ from g),
-    prior as (select mean, least(case when between_ > 0 then greatest(chance / between_ - 1, 2.0) else greatest(average, 2.0) end, greatest(average, 2.0)) as strength from r),
+    prior as (select mean, case when between_ > 0 then greatest(chance / between_ - 1, 2.0) else greatest(average, 2.0) end as strength from r),
     v as (select host, (bad + mean * strength) / (docs + strength) as rate from h, prior)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         not base_failed and case when rate >= {hq.BLOCK_RATE} then false when rate >= {hq.STRICT_RATE} then not {_soft(1.0)} else not {_soft(hq.SLACK)} end as kept from f join v using (host)"""

@@ -22,14 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tessera.llm import simhash
 from tessera.llm.common import staged, tidy
-from tessera.llm.simhash import keep_one_per_group, near_duplicate_groups
 
 #: Labelled rows that training reads at most (in expectation), half of each label.
 MAX_TRAINING_ROWS = 6000
-#: Learned terms at most; a term must be in so many toxic rows and in such a part of them,
-#: and reach the log odds and the z-score.
-MAX_TERMS, MIN_ROWS, MIN_PART, MIN_ODDS, MIN_Z = 500, 8, 0.01, 2.5, 6.0
+#: A learned term must be in so many toxic rows and in such a part of them, and reach the log
+#: odds and the z-score. A term in a hundredth of the toxic rows leaves room for no more terms
+#: than a hundred times the distinct words and beginnings of a text.
+MIN_ROWS, MIN_PART, MIN_ODDS, MIN_Z = 8, 0.01, 2.5, 6.0
+#: Bits of the fingerprints that tell near copies among the sampled rows.
+COPY_BITS = 512
 #: Lengths of the word beginnings that are learned beside whole words; written with a '*'.
 STEMS = (4, 5, 6, 7)
 
@@ -125,7 +128,14 @@ class ToxicityModel:
             weights = [w for w in (None if inside else whole, stem) if w is not None]
             if weights and max(weights) > found.get(start, (0, -1.0))[1]:
                 found[start] = end, max(weights)
-        return [(start, end, w) for start, (end, w) in sorted(found.items()) if not any(a <= start and end <= b for a, b in spared)]
+        spared.sort()
+        out, upto, at = [], 0, 0
+        for start, (end, weight) in sorted(found.items()):
+            while at < len(spared) and spared[at][0] <= start:
+                upto, at = max(upto, spared[at][1]), at + 1
+            if end > upto:
+                out.append((start, end, weight))
+        return out
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         """Weight of matches a word, log of 1 + weight, and whether any matched."""
@@ -173,12 +183,12 @@ def _term_counts(sample: DataFrame) -> DataFrame:
 
 
 def learn_weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """Log odds of terms, seeds and learned ones; at most MAX_TERMS learned terms."""
+    """Log odds of terms, seeds and learned ones."""
     odds = F.log((F.col("n_toxic") + 0.5) / (toxic - F.col("n_toxic") + 0.5)) - F.log((F.col("n_clean") + 0.5) / (clean - F.col("n_clean") + 0.5))
     toxic_part, clean_part, part = F.col("n_toxic") / toxic, F.col("n_clean") / clean, (F.col("n_toxic") + F.col("n_clean")) / (toxic + clean)
     z = (toxic_part - clean_part) / F.sqrt(part * (1 - part) * (1 / toxic + 1 / clean) + 1e-12)
     scored = counts.withColumn("odds", odds).withColumn("z", z)
-    learned = scored.where((F.col("n_toxic") >= max(MIN_ROWS, MIN_PART * toxic)) & (F.col("odds") >= MIN_ODDS) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "term").limit(MAX_TERMS)
+    learned = scored.where((F.col("n_toxic") >= max(MIN_ROWS, MIN_PART * toxic)) & (F.col("odds") >= MIN_ODDS) & (F.col("z") >= MIN_Z))
     weights = {term: 1.5 for term in seed_terms()}
     seen = scored.where(F.col("term").isin(list(weights)) & (F.col("n_toxic") + F.col("n_clean") >= MIN_ROWS))
     for row in seen.collect():
@@ -188,6 +198,25 @@ def learn_weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]
     return weights
 
 
+def without_copies(sample: DataFrame) -> DataFrame:
+    """The rows of sample(id__, text__, ...) that are no near copy of one with a smaller id.
+
+    The sample is bounded (twice the training rows), and so are its fingerprints of COPY_BITS
+    bits, which are compared on the driver.
+    """
+    rows = sorted((r["id__"], bytes(r["wide"])) for r in simhash.wide_prints(sample, "id__", "text__", 5, COPY_BITS // 64).select("id__", "wide").collect())
+    if not rows:
+        return sample
+    prints = np.frombuffer(b"".join(w for _, w in rows), "<u8").reshape(len(rows), -1)
+    radius, gone = simhash.radius_of(COPY_BITS), []
+    for start in range(0, len(rows), 128):
+        part = prints[start : start + 128]
+        near = np.bitwise_count(part[:, None] ^ prints[None, : start + len(part)]).sum(axis=2, dtype=np.int64) <= radius
+        gone += [rows[start + at][0] for at in range(len(part)) if near[at, : start + at].any()]
+    ids = sample.sparkSession.createDataFrame([(i,) for i in gone], f"id__ {sample.schema['id__'].dataType.simpleString()}")
+    return sample.join(F.broadcast(ids), "id__", "left_anti")
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
     """Learn from a sample of labelled rows, about max_rows / 2 of each label, drawn by a
     hash of the id; copies and near copies of a text count once. Rows with a null id, text or label, and
@@ -204,8 +233,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     # twice the expected number bounds what is broadcast, so that no text but the sample's moves
     drawn = F.broadcast(known.where(draw < part).orderBy(draw, id_col).limit(2 * max_rows))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).cast("string").alias("text__"))
-    sample = staged(texts.join(drawn, id_col).groupBy("text__").agg(F.max("label__").alias("label__"), F.min(id_col).alias("id__")), "labelled")
-    sample = staged(keep_one_per_group(sample, near_duplicate_groups(sample, "id__", "text__"), "id__"), "distinct")
+    sample = texts.join(drawn, id_col).groupBy(F.col(id_col).alias("id__")).agg(F.min("text__").alias("text__"), F.max("label__").alias("label__"))
+    sample = staged(sample.groupBy("text__").agg(F.max("label__").alias("label__"), F.min("id__").alias("id__")), "labelled")
+    sample = staged(without_copies(sample), "distinct")
     n = {r[0]: r[1] for r in sample.groupBy("label__").count().collect()}
     if len(n) < 2:
         return fallback
