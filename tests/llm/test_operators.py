@@ -70,6 +70,29 @@ def test_shares_against_repeated_filling(spark):
         assert got == expected
 
 
+def test_a_large_family_in_ranges(spark):
+    """A family of many sources, some empty or equal, shared in ranges as one by one."""
+    rng = np.random.default_rng(6)
+    sizes = [*(int(2 ** x) for x in rng.uniform(0, 20, 400)), *[0] * 5, *[777] * 60]
+    rows = [("f", f"s{k}", int(rng.integers(1, 5)), size) for k, size in enumerate(sizes)] + [("g", "only", 1, 50), ("h", "a", 1, 0)]
+    capacity = {f: sum(r[3] for r in rows if r[0] == f) for f in "fgh"}
+    for part in (0.0, 0.003, 0.2, 0.7, 1.0):
+        given = [(*r, int(capacity[r[0]] * part)) for r in rows]
+        df = spark.createDataFrame(given, "family string, name string, weight long, capacity long, budget long").repartition(5)
+        found = {(r["family"], r["name"]): r["out"] for r in mixing.share_in_ranges(df, ["family"], "budget", "name", "weight", "capacity", "out").collect()}
+        for f in "fgh":
+            expected = fill({r[1]: (r[2], r[3]) for r in rows if r[0] == f}, int(capacity[f] * part))
+            assert {n: x for (g, n), x in found.items() if g == f} == expected
+
+
+def test_levels_that_keep_their_proportions(spark):
+    leaves = [("d0", "en", "a", 600), ("d0", "en", "b", 300), ("d0", "de", "a", 100), ("d1", "de", "c", 100), ("d1", "fr", "", 0)]
+    df = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens long")
+    weights = {"domain": None, "lang": {"en": 1, "de": 1}, "source": None}
+    found = {tuple(r)[:3]: r["share"] for r in mixing.allocate(df, F.lit(550), weights, 1).collect()}
+    assert found == {("d0", "en", "a"): 266, ("d0", "en", "b"): 133, ("d0", "de", "a"): 100, ("d1", "de", "c"): 50, ("d1", "fr", ""): 0}
+
+
 def mixed(df, budget=None, epochs=2):
     budget = F.lit(60) if budget is None else budget
     return mixing.mix(df, F.lit("d"), F.col("lang"), F.col("source"), F.size(F.split("text", " ")), budget, {}, epochs)
