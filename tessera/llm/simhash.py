@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 from functools import reduce
 from itertools import accumulate, combinations
@@ -47,7 +48,9 @@ LIMIT_BITS = math.acos(2 * 0.8 / 1.8) / math.pi
 #: Part of such pairs that share a block, and unrelated texts a value of a block.
 RECALL, CHANCE_ROWS = 0.98, 128
 #: Bits of a wide fingerprint at least, so that the distance of all of them tells pairs apart.
-LEAST_BITS = 512
+LEAST_BITS = 1024
+#: Members of a run that meet all others first.
+HEADS = 4
 #: What a hash is mixed with for each word of a wide fingerprint, up to 65,536 bits.
 _DRAWN = np.random.default_rng(SEED).integers(0, 1 << 64, (2, 1024), np.uint64)
 _FACTORS, _TERMS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
@@ -235,9 +238,9 @@ def block_plan(n: int) -> tuple[int, int]:
     return math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - LIMIT_BITS) ** bits)), bits
 
 
-def wide_fingerprint(hashes: np.ndarray, words: int) -> bytes:
+def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
     """SimHash of 64 * words bits: each hash is mixed with a number a word, and a bit is 1 if
-    it is set in over half of what comes out."""
+    it is set in over half of what comes out. As signed longs."""
     ones = np.zeros(64 * words, np.int64)
     for at in range(0, len(hashes), 255):
         mixed = (hashes[at : at + 255, None] ^ _TERMS[:words]) * _FACTORS[:words]
@@ -246,13 +249,13 @@ def wide_fingerprint(hashes: np.ndarray, words: int) -> bytes:
         mixed ^= mixed >> np.uint64(32)
         bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(len(mixed), -1), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.uint8)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")
 
 
 def wide_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, words: int) -> DataFrame:
-    """(id_col, digest of the words, n distinct shingles, wide binary) for every row of docs."""
+    """(id_col, digest of the words, n distinct shingles, wide array<bigint>) for every row of docs."""
     source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text__"))
-    ddl = f"`{id_col}` {source.schema[0].dataType.simpleString()}, digest binary, n int, wide binary"
+    ddl = f"`{id_col}` {source.schema[0].dataType.simpleString()}, digest binary, n int, wide array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,7 +266,7 @@ def wide_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, words
                 digests.append(hashlib.blake2b(b" ".join(found), digest_size=16).digest())
                 sizes.append(len(hashes))
                 wide.append(wide_fingerprint(hashes, words))
-            columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(wide, pa.binary())]
+            columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(wide, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "digest", "n", "wide"])
 
     return source.mapInArrow(tidy(run), ddl)
@@ -279,51 +282,40 @@ def block_rows(held: DataFrame, blocks: int, bits: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                cut = np.unpackbits(rows, axis=1, bitorder="little")[:, : blocks * bits].reshape(-1, blocks, bits)
+                rows = np.ascontiguousarray(batch.column(1).flatten().to_numpy(), "<i8").reshape(batch.num_rows, -1)
+                cut = np.unpackbits(rows.view(np.uint8), axis=1, bitorder="little")[:, : blocks * bits].reshape(-1, blocks, bits)
                 keys = (cut @ powers) | (np.arange(blocks, dtype=np.int64) << bits)
-                first = rows[:, :16].copy().view("<i8")
+                first = rows[:, :2]
                 nodes = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), blocks)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), nodes, *(pa.array(np.repeat(first[:, k], blocks)) for k in (0, 1))], names=["key", "node", "f0", "f1"])
 
     return held.where("n > 0").select("node", "wide").mapInArrow(tidy(run), f"key bigint, node {kind}, f0 bigint, f1 bigint")
 
 
-def _first_bits(held: DataFrame) -> DataFrame:
-    """(node, f0, f1) of held(node, wide)."""
-    part = lambda k: F.conv(F.hex(F.reverse(F.substring("wide", 8 * k + 1, 8))), 16, -10).cast("long").alias(f"f{k}")
-    return held.select("node", part(0), part(1))
+def radius_of(bits: int, deviations: float) -> int:
+    """Bits in which pairs at the limit differ, with so many standard deviations added."""
+    return math.ceil(bits * LIMIT_BITS + deviations * math.sqrt(bits * LIMIT_BITS * (1 - LIMIT_BITS)))
 
 
-def radius_of(bits: int) -> int:
-    """Bits in which pairs at the limit differ, with 3.5 standard deviations added."""
-    return math.ceil(bits * LIMIT_BITS + 3.5 * math.sqrt(bits * LIMIT_BITS * (1 - LIMIT_BITS)))
+def _differ(left: list[str], right: list[str]) -> Column:
+    """Bits in which longs differ."""
+    return reduce(Column.__add__, [F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(left, right, strict=True)])
 
 
 def _meet(rows: DataFrame, heads: DataFrame, also: Column | None = None) -> DataFrame:
-    """Distinct pairs (a < b) of rows and heads(key, node, f0, f1, ...) that share a key and are
-    within the radius on 128 bits."""
+    """(node, node_h, far): pairs of rows and heads(key, node, w0, w1, ...) that share a key and
+    whose whole fingerprints are within the radius, far bits apart."""
+    words = [c for c in rows.columns if re.fullmatch(r"w\d+", c)]
     heads = heads.select("key", *[F.col(c).alias(f"{c}_h") for c in heads.columns if c != "key"])
-    differ = F.bit_count(F.col("f0").bitwiseXOR(F.col("f0_h"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("f1_h")))
-    met = rows.join(heads, "key").where((F.col("node") != F.col("node_h")) & (differ <= radius_of(128)))
-    met = met if also is None else met.where(also)
-    return met.select(F.least("node", "node_h").alias("a"), F.greatest("node", "node_h").alias("b")).distinct()
+    far = _differ(words, [f"{w}_h" for w in words])
+    met = rows.join(heads, "key").where((F.col("node") != F.col("node_h")) & (far <= radius_of(64 * len(words), 2)))
+    return (met if also is None else met.where(also)).select("node", "node_h", far.alias("far"))
 
 
-def _near(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs whose whole fingerprints are within the radius."""
-    sides = [held.select(F.col("node").alias(x), F.col("wide").alias(f"wide_{x}")) for x in ("a", "b")]
-    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "wide_a", "wide_b")
-    kind = both.schema["a"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u8").reshape(batch.num_rows, -1) for k in (2, 3))
-                near = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= radius_of(64 * a.shape[1])
-                yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}").distinct()
+def _nearest(met: DataFrame) -> DataFrame:
+    """Each node's pair with the nearest, as (a < b)."""
+    best = met.groupBy("node").agg(F.min(F.struct("far", "node_h")).alias("best")).select("node", "best.node_h")
+    return best.select(F.least("node", "node_h").alias("a"), F.greatest("node", "node_h").alias("b")).distinct()
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -361,21 +353,22 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     each other and of nothing else. An empty table gives an empty table.
 
     The wide fingerprint is cut into blocks (block_plan). Texts that share a block are
-    compared by Hamming distance, on 128 bits where they meet and then on all, within a radius
-    that loses no pair at the limit but by 3.5 standard deviations; what is left is counted
-    exactly before it links. A pair at the limit shares a block with a probability of RECALL,
-    a closer pair with a higher one. LIMIT_BITS belongs to `least` of 0.8.
-
-    In a run of one block's value the smallest id meets all others first, and every text's
-    smallest near one of those is counted. After that, members whose group isn't that of the
-    run's smallest id meet all members of other groups: each pair of a run is compared, or lies
-    within one group. Of the pairs so found, again each text's smallest is counted first, and
-    then those whose groups still differ. Runs are counted by partial aggregation and met by
-    joins that AQE splits, without a window or a sort of a whole run, so that one value may
-    belong to a third of all texts.
+    compared by Hamming distance where they meet, on 128 bits first: a semi join keeps a
+    block's row only if another one of its value is near, and emits no pairs. What is left is
+    compared on whole fingerprints, and pairs near in all bits are counted exactly before they
+    link. A pair at the limit shares a block with a probability of RECALL, and is near with one
+    of 0.98 (2 standard deviations); closer pairs soon with certainty. LIMIT_BITS belongs to
+    `least` of 0.8.
+
+    In a run of one block's value up to HEADS members meet all others first, and every text's
+    nearest of those is counted. After that, members whose group isn't that of the run's smallest
+    id meet all members of other groups: each pair of a run is compared, or lies within one
+    group. Of the near pairs so found, again each text's nearest is counted first, and then those
+    whose groups still differ. All is joins that AQE splits and partial aggregation, without a
+    window or a sort of a whole run, so that one value may belong to a third of all texts.
     """
     blocks, bits = block_plan(docs.count())
-    words = -(-max(blocks * bits, LEAST_BITS) // 64)
+    words = max(-(-blocks * bits // 64), LEAST_BITS // 64)
     prints = staged(wide_prints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, words), "prints")
     held = staged(prints.groupBy("digest").agg(F.min(id_col).alias("node"), F.first("n").alias("n"), F.first("wide").alias("wide")), "distinct")
     sources = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
@@ -395,18 +388,25 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return rows.join(known, column, "left").withColumn(name, F.coalesce(name, column))
 
     rows = block_rows(held, blocks, bits)
-    runs = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("node")).where("members > 1").select("key", "node")
-    first = staged(runs.join(_first_bits(held), "node"), "runs")
-    rows = staged(rows.join(first.select("key"), "key", "left_semi"), "rows")
-    near = staged(_near(_meet(rows, first), held), "near")
-    count(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    members = rooted(rows, "node", "root").join(rooted(first.select("key", F.col("node").alias("first")), "first", "lead").drop("first"), "key")
-    heads = members.where("root != lead").drop("lead")
-    pairs = _meet(members.drop("lead"), heads, F.col("root") != F.col("root_h"))
-    near = staged(_near(pairs, held).join(counted[0], ["a", "b"], "left_anti"), "near")
-    count(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    apart = rooted(rooted(near, "a", "root_a"), "b", "root_b").where("root_a != root_b").select("a", "b")
-    count(apart.join(counted[1], ["a", "b"], "left_anti"))
+    others = rows.select(*[F.col(c).alias(f"{c}_h") for c in rows.columns])
+    near = (F.col("key") == F.col("key_h")) & (F.col("node") != F.col("node_h")) & (_differ(["f0", "f1"], ["f0_h", "f1_h"]) <= radius_of(128, 3.5))
+    near_rows = staged(rows.join(others, near, "left_semi").select("key", "node"), "near_rows")
+    prints_of = held.select("node", *[F.get("wide", F.lit(k)).alias(f"w{k}") for k in range(words)])
+    rows = staged(near_rows.join(prints_of, "node"), "rows")
+    heads = near_rows.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(HEADS)).alias("part")).agg(F.min("node").alias("node"))
+    first = staged(heads, "heads")
+    met = staged(_meet(rows, first.select("key", "node").join(prints_of, "node")), "met")
+    count(_nearest(met))
+    leads = rooted(first.groupBy("key").agg(F.min("node").alias("lead")), "lead", "lead_root").select("key", "lead_root")
+    members = rooted(rows, "node", "root").join(leads, "key")
+    met = _meet(members, members.where("root != lead_root").drop("lead_root"), F.col("root") != F.col("root_h"))
+    met = staged(met.distinct(), "met")
+    count(_nearest(met))
+    pairs = met.select(F.least("node", "node_h").alias("a"), F.greatest("node", "node_h").alias("b")).distinct()
+    apart = rooted(rooted(pairs, "a", "root_a"), "b", "root_b").where("root_a != root_b").select("a", "b")
+    for done in counted:
+        apart = apart.join(done, ["a", "b"], "left_anti")
+    count(apart)
     named = rooted(held.select("digest", "node"), "node", "group_id")
     return prints.join(named.select("digest", "group_id"), "digest").select(id_col, "group_id")
 

@@ -204,11 +204,11 @@ def without_copies(sample: DataFrame) -> DataFrame:
     The sample is bounded (twice the training rows), and so are its fingerprints of COPY_BITS
     bits, which are compared on the driver.
     """
-    rows = sorted((r["id__"], bytes(r["wide"])) for r in simhash.wide_prints(sample, "id__", "text__", 5, COPY_BITS // 64).select("id__", "wide").collect())
+    rows = sorted((r["id__"], r["wide"]) for r in simhash.wide_prints(sample, "id__", "text__", 5, COPY_BITS // 64).select("id__", "wide").collect())
     if not rows:
         return sample
-    prints = np.frombuffer(b"".join(w for _, w in rows), "<u8").reshape(len(rows), -1)
-    radius, gone = simhash.radius_of(COPY_BITS), []
+    prints = np.array([w for _, w in rows], np.int64).view(np.uint64)
+    radius, gone = simhash.radius_of(COPY_BITS, 2), []
     for start in range(0, len(rows), 128):
         part = prints[start : start + 128]
         near = np.bitwise_count(part[:, None] ^ prints[None, : start + len(part)]).sum(axis=2, dtype=np.int64) <= radius
