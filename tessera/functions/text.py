@@ -37,7 +37,7 @@ def strip(column: Column) -> Column:
 @F.pandas_udf(StringType())
 def to_ascii(names: pd.Series) -> pd.Series:
     """Compatibility decomposition, without what then isn't ASCII."""
-    return names.map(lambda s: s if s.isascii() else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii"))
+    return names.map(lambda s: unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii"), na_action="ignore")
 
 
 def normalize_name(column: Column, ascii_input: bool = False) -> Column:
@@ -48,7 +48,10 @@ def normalize_name(column: Column, ascii_input: bool = False) -> Column:
     decomposition, and with it Python, where the input is known to be ASCII.
     """
     text = text_or_empty(column)
-    text = F.lower(text if ascii_input else to_ascii(text))
+    if not ascii_input:
+        # only names that need it travel to Python; of the others it sees a null
+        text = F.coalesce(to_ascii(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    text = F.lower(text)
     words = F.trim(F.regexp_replace(F.replace(text, F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", " "))
     return F.regexp_replace(words, _SUFFIX_RUN, "")
 
