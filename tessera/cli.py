@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import shlex
 from collections.abc import Sequence
 from pathlib import Path
 
@@ -125,7 +126,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.markdown_out:
             # these rows are for reading, one by one
             rows = [[r.asDict() for r in review[k].orderBy("slug").collect()] for k in ("likely_wrong_rows", "review_rows", "conflict_rows")]
-            _write(args.markdown_out, render.label_review_markdown(review["summary"], *rows))
+            again = " ".join(["python", "-m", "tessera.cli", "label-review", "--db", shlex.quote(str(args.db)), "--markdown-out", shlex.quote(str(args.markdown_out))] + (["--csv-out-dir", shlex.quote(str(args.csv_out_dir))] if args.csv_out_dir else []))
+            _write(args.markdown_out, render.label_review_markdown(review["summary"], *rows) + f"\n## Rerun\n\n```bash\n{again}\n```\n")
         _show(review["summary"])
     elif args.command == "review-queue":
         queue = pipeline.build_review_queue(spark, root)

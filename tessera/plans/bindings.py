@@ -266,7 +266,9 @@ def duplicate_keys(spark, d):
 
 @query
 def anti_join_unseen(spark, d):
-    return t.table(spark, d, "customer").join(t.table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+    """Customers without an urgent order of some size."""
+    urgent = t.table(spark, d, "orders").where("o_orderpriority = '1-URGENT' and o_totalprice > 200000")
+    return t.table(spark, d, "customer").join(urgent.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
 @query

@@ -140,7 +140,7 @@ _QUERIES = {
     "award_participants_best": "select * from best_participants",
     "posexplode_before_filter": "select vec_id, cast(ordinal as integer) as ordinal from (select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as ordinal from embeddings) where x > 0.2",
     "duplicate_keys": "select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by 1, 2 having count(*) > 1",
-    "anti_join_unseen": "select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders)",
+    "anti_join_unseen": "select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_orderpriority = '1-URGENT' and o_totalprice > 200000)",
     "semi_join_known": "select c_custkey, c_name from customer where c_custkey in (select o_custkey from orders where o_orderstatus = 'F')",
     "exists_bucket": "select case when ror_id = '' then 'no_ror' when exists (select 1 from suspicious s where s.slug = c.slug and s.org_order = c.org_order) then 'suspicious' else 'self_consistent' end as bucket, count(*) as count from community_orgs c group by 1",
     "full_outer_override_merge": """select pic, case when ror is not null then ror else ror_id end as ror_id, case when ror is not null then 'manual' else confidence end as confidence, case when ror is not null then 'manual_override' else source end as source,

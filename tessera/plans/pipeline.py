@@ -6,10 +6,11 @@ run again by itself, and a lost executor costs one stage.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import schemas
@@ -17,29 +18,44 @@ from tessera.operators import awards, candidates, community, publish, reports, r
 from tessera.sources import communities, organizations, projects, tables
 
 
-def import_sources(spark: SparkSession, root: str, *, cordis_archives: Sequence[tuple[str, str]] = (), community_dump: str | None = None, openaire_tar: str | None = None, ror_zip: str | None = None, community_parent_slug: str = "eu") -> dict[str, int]:
+def import_sources(spark: SparkSession, root: str, *, cordis_archives: Sequence[tuple[str, str]] = (), community_dump: str | None = None, openaire_tar: str | None = None, ror_zip: str | None = None, community_parent_slug: str = "eu", counters: list[dict] | None = None) -> dict[str, int]:
     """Read the dumps that are given and replace their tables. Projects are replaced by
-    origin, other sources as a whole. A key that occurs twice fails the import."""
-    done: dict[str, int] = {}
-
-    def keep(name: str, df: DataFrame, by: str | None = None) -> None:
-        tables.save(df, root, name, by)
-        stored = tables.load(spark, root, name)
+    origin, other sources as a whole. Counts of stored rows by table.
+
+    Everything is written aside and checked first, and only then put in its place by renaming:
+    a dump that can't be read, or a key that occurs twice, leaves all stored tables as they
+    were. counters receives a dict for each dump: its path, what was seen and what was kept.
+    """
+    aside = f"{root.rstrip('/')}/.aside-{uuid.uuid4().hex}"
+    written: dict[str, str | None] = {}
+    counted: list[dict] = []
+
+    def keep(name: str, df: DataFrame, by: str | None = None) -> int:
+        tables.save(df, aside, name, by)
+        stored = tables.load(spark, aside, name)
         schemas.assert_unique(stored, schemas.KEYS[name], name)
-        done[name] = stored.count()
+        written[name] = by
+        return stored.count()
 
     for origin, path in cordis_archives:
-        found, people = projects.read_projects(spark, path, origin)
-        keep("cordis_projects", found, by="origin")
-        keep("cordis_participants", people, by="origin")
+        seen = Observation()
+        found, people = projects.read_projects(spark, path, origin, seen)
+        before = [c for c in counted if "seen_xml" in c]
+        totals = [keep(name, df, by="origin") - sum(c[kind] for c in before) for name, kind, df in (("cordis_projects", "projects", found), ("cordis_participants", "participants", people))]
+        counted.append({"origin": origin, "path": path, "seen_xml": seen.get["seen_xml"], "projects": totals[0], "participants": totals[1]})
     if community_dump:
-        for name, df in zip(("community_awards", "community_award_participants", "community_orgs"), communities.read_communities(spark, community_dump, community_parent_slug), strict=True):
-            keep(name, df)
+        names = ("community_awards", "community_award_participants", "community_orgs")
+        kept = [keep(name, df) for name, df in zip(names, communities.read_communities(spark, community_dump, community_parent_slug), strict=True)]
+        records = spark.read.text(community_dump).where("trim(value) <> ''").count()
+        counted.append({"path": community_dump, "records": records, "awards": kept[0], "participants": kept[1], "organizations": kept[2]})
     if openaire_tar:
-        keep("openaire_orgs", organizations.read_records(spark, openaire_tar))
+        counted.append({"path": openaire_tar, "organizations": keep("openaire_orgs", organizations.read_records(spark, openaire_tar))})
     if ror_zip:
-        keep("ror_orgs", organizations.read_registry(spark, ror_zip))
-    return done
+        counted.append({"path": ror_zip, "organizations": keep("ror_orgs", organizations.read_registry(spark, ror_zip))})
+    tables.swap(spark, aside, root, written)
+    if counters is not None:
+        counters += counted
+    return {name: tables.load(spark, root, name).count() for name in written}
 
 
 def raw_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -52,14 +68,15 @@ def _columns(spark: SparkSession, ddl: str) -> list[str]:
 
 
 def derive_tables(spark: SparkSession, root: str) -> dict[str, int]:
-    """Rebuild all derived tables, each from stored ones. Counts of rows by table."""
-    raw = raw_tables(spark, root)
+    """Rebuild all derived tables, each from stored ones. Counts of rows by table. They are
+    written aside and put in place together once the last of them stands."""
+    raw, aside = raw_tables(spark, root), f"{root.rstrip('/')}/.aside-{uuid.uuid4().hex}"
     ror, orgs = raw["ror_orgs"], raw["openaire_orgs"]
     done: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        tables.save(schemas.fit(df, schemas.DERIVED[name]), root, name)
-        done[name] = tables.load(spark, root, name)
+        tables.save(schemas.fit(df, schemas.DERIVED[name]), aside, name)
+        done[name] = tables.load(spark, aside, name)
         return done[name]
 
     suspicious = keep("suspicious_community_orgs", community.suspicious_orgs(raw["community_orgs"], ror))
@@ -70,7 +87,9 @@ def derive_tables(spark: SparkSession, root: str) -> dict[str, int]:
     resolved = keep("pic_ror_resolutions", resolve.traced_resolutions(openaire, people, matches, observed, ror))
     best = keep("awards_best", awards.best_awards(raw["cordis_projects"], raw["community_awards"]))
     keep("award_participants_best", awards.best_participants(best, raw["cordis_participants"], raw["community_award_participants"], resolved))
-    return {name: df.count() for name, df in done.items()}
+    counts = {name: df.count() for name, df in done.items()}
+    tables.swap(spark, aside, root, dict.fromkeys(done))
+    return counts
 
 
 def derived_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -158,7 +177,7 @@ def build_label_review(spark: SparkSession, root: str) -> dict[str, DataFrame |
 
 def write_label_review_csvs(review: Mapping[str, DataFrame], folder: str) -> None:
     for name, key, order in (("likely-wrong-community-orgs", "likely_wrong_rows", ["slug", "org_order"]), ("review-community-orgs", "review_rows", ["slug", "org_order"]), ("community-org-conflicts", "conflict_rows", ["slug", "pic"])):
-        tables.write_csv(review[key], f"{folder}/{name}.csv", order)
+        tables.write_csv_or_nothing(review[key], f"{folder}/{name}.csv", order)
 
 
 def build_review_queue(spark: SparkSession, root: str) -> DataFrame:

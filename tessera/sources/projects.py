@@ -6,7 +6,7 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.labels import ORIGINS
@@ -27,16 +27,21 @@ def _name(node: ET.Element) -> str:
     return node.tag.rpartition("}")[2]
 
 
+def _found(node: ET.Element, path: tuple[str, ...]) -> ET.Element | None:
+    """The first element, in document order, that a whole path of local names leads to."""
+    if not path:
+        return node
+    below = (_found(child, path[1:]) for child in node if _name(child) == path[0])
+    return next((n for n in below if n is not None), None)
+
+
 def _text(node: ET.Element, *path: str) -> str:
-    """Trimmed text of the first element down a path of local names; '' if there is none."""
-    for step in path:
-        node = next((child for child in node if _name(child) == step), None)
-        if node is None:
-            return ""
-    return (node.text or "").strip()
+    """Trimmed text of that element; '' if there is none."""
+    found = _found(node, path)
+    return (found.text or "").strip() if found is not None else ""
 
 
-def parse_project(xml: str) -> dict | None:
+def parse_project(xml: str | bytes) -> dict | None:
     """A project, or None if it can't be parsed or lacks an id or a title.
 
     Participants are numbered by their place among all organisations of the file, before
@@ -44,7 +49,7 @@ def parse_project(xml: str) -> dict | None:
     """
     try:
         root = ET.fromstring(xml)
-    except ET.ParseError:
+    except (ET.ParseError, LookupError, ValueError):  # LookupError: an encoding that isn't known
         return None
     project = {"award_number": _text(root, "id"), "title": _text(root, "title"), "acronym": _text(root, "acronym")}
     if not (project["award_number"] and project["title"]):
@@ -87,9 +92,13 @@ def parse_projects(members: DataFrame) -> DataFrame:
     return members.select("value").mapInArrow(run, _DDL)
 
 
-def read_projects(spark: SparkSession, path: str, origin: str) -> tuple[DataFrame, DataFrame]:
-    """cordis_projects and cordis_participants of one archive."""
-    return project_tables(parse_projects(dealt_out(read_zip_xml(spark, path))), origin)
+def read_projects(spark: SparkSession, path: str, origin: str, seen: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """cordis_projects and cordis_participants of one archive. `seen` observes the number of
+    XML members (seen_xml) as the first of the two is computed."""
+    members = read_zip_xml(spark, path)
+    if seen is not None:
+        members = members.observe(seen, F.count(F.lit(1)).alias("seen_xml"))
+    return project_tables(parse_projects(dealt_out(members)), origin)
 
 
 def project_tables(parsed: DataFrame, origin: str) -> tuple[DataFrame, DataFrame]:

@@ -34,6 +34,30 @@ def save(df: DataFrame, root: str, name: str, by: str | None = None) -> None:
     writer.parquet(f"{root}/{name}")
 
 
+def swap(spark: SparkSession, aside: str, root: str, names: Mapping[str, str | None]) -> None:
+    """Put tables that were written aside in the place of the stored ones, by renaming; of a
+    table with a column (names[table]), only the values that it holds there. Nothing is read or
+    computed between the first rename and the last."""
+    jvm = spark.sparkContext._jvm
+    path = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
+    store = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def put(new, old) -> None:
+        store.delete(old, True)
+        store.mkdirs(old.getParent())
+        if not store.rename(new, old):
+            raise OSError(f"{new} could not be renamed to {old}")
+
+    for name, by in names.items():
+        if by is None:
+            put(path(aside, name), path(root, name))
+            continue
+        for part in store.listStatus(path(aside, name)):
+            if part.isDirectory():
+                put(part.getPath(), path(root, name, part.getPath().getName()))
+    store.delete(path(aside), True)
+
+
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}")
 
@@ -51,6 +75,14 @@ def write_csv(df: DataFrame, path: str, order: list, single_file: bool = True) -
     (ordered.coalesce(1) if single_file else ordered).write.mode("overwrite").options(**_CSV).csv(path)
 
 
+def write_csv_or_nothing(df: DataFrame, path: str, order: list) -> None:
+    """write_csv, or an empty file without a header where there are no rows."""
+    if df.isEmpty():
+        df.sparkSession.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(path)
+    else:
+        write_csv(df, path, order)
+
+
 def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
     """CSV as written by write_csv; fails if a required column is missing."""
     df = spark.read.options(header=True, escape='"', multiLine=True).csv(path).fillna("")

@@ -11,7 +11,7 @@ import pytest
 from tessera.operators import reports
 from tessera.plans import pipeline, render
 from tessera.schemas import DuplicateKeyError
-from tessera.sources import projects, tables
+from tessera.sources import archives, projects, tables
 from tessera.sources.tables import overrides_table
 from tessera.streaming.dumps import follow_communities
 
@@ -156,6 +156,42 @@ def test_duplicate_key_fails(spark, dumps, tmp_path):
         pipeline.import_sources(spark, str(tmp_path / "db"), cordis_archives=[("HE", str(tmp_path / "dup.zip"))])
 
 
+def test_a_failing_import_changes_nothing(spark, dumps, tmp_path):
+    """Duplicate keys and unreadable dumps leave every stored table as it was."""
+    root = str(tmp_path / "db")
+    pipeline.import_sources(spark, root, cordis_archives=[("HE", f"{dumps}/he.zip")], ror_zip=f"{dumps}/ror.zip")
+    before = {name: sorted(map(str, rows(spark, root, name))) for name in ("cordis_projects", "cordis_participants", "ror_orgs")}
+    with zipfile.ZipFile(tmp_path / "dup.zip", "w") as z:
+        z.writestr("a.xml", PROJECT.format(id="8"))
+        z.writestr("b.xml", PROJECT.format(id="8"))
+    with pytest.raises(DuplicateKeyError):
+        pipeline.import_sources(spark, root, ror_zip=f"{dumps}/ror.zip", cordis_archives=[("HE", str(tmp_path / "dup.zip"))])
+    (tmp_path / "bad.zip").write_bytes(b"no archive")
+    with pytest.raises(Exception, match="zip"):
+        pipeline.import_sources(spark, root, cordis_archives=[("HE", f"{dumps}/fp7.zip")], ror_zip=str(tmp_path / "bad.zip"))
+    assert before == {name: sorted(map(str, rows(spark, root, name))) for name in before}
+
+
+@pytest.mark.parametrize("whole", [1 << 30, 0])
+def test_encodings_addresses_and_counters(spark, tmp_path, monkeypatch, whole):
+    """Members in the encoding that they name; the first country found over all addresses; what
+    an import has seen. Also from archives that are opened where they lie."""
+    monkeypatch.setattr(archives, "WHOLE_BYTES", whole)
+    latin = """<?xml version="1.0" encoding="ISO-8859-1"?><project><id>5</id><title>T</title><organization><id>9</id><legalName>Universit\u00e9</legalName>
+        <address><city>X</city></address><address><country>FR</country></address></organization></project>"""
+    with zipfile.ZipFile(tmp_path / "l.zip", "w") as z:
+        z.writestr("a.xml", latin.encode("latin-1"))
+        z.writestr("b.xml", PROJECT.format(id="6").encode("utf-16"))
+        z.writestr("c.xml", b"<project>\xff")
+        z.writestr("d.xml", b'<?xml version="1.0" encoding="nothing"?><project/>')
+    counters = []
+    root = str(tmp_path / "db")
+    pipeline.import_sources(spark, root, cordis_archives=[("HE", str(tmp_path / "l.zip"))], counters=counters)
+    assert counters == [{"origin": "HE", "path": str(tmp_path / "l.zip"), "seen_xml": 4, "projects": 2, "participants": 3}]
+    people = {r["pic"]: (r["legal_name"], r["country_code"]) for r in rows(spark, root, "cordis_participants")}
+    assert people["9"] == ("Universit\u00e9", "FR") and people["100"] == ("Universit\u00e9 Alpha", "FR")
+
+
 def test_arguments():
     with pytest.raises(ValueError):
         projects.parse_archive_arguments(["XX=/a"])
