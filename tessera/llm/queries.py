@@ -35,11 +35,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all other rows, repeated
+    rows a place each; null and unfinished vectors take no part."""
     vectors = topk.integer_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.exact_topk(vectors, F.col("id") % 100 == 0, 10)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document. Texts without words have fingerprint zero;
+    a null id keeps its fingerprint and has no component."""
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
@@ -53,6 +57,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document, base phrases and rules; null texts count as empty, with
+    no places, '' as labels and a score of 0."""
     scanned = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
     base, labels = F.transform("base", lambda d: d["label"]), F.transform("detections", lambda d: d["label"])
     joined = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
@@ -87,11 +93,15 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; null texts have no words, null sources are one
+    host, repeated rows are judged each."""
     judged = host_quality.judge_documents(read_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of what they decode to; null and empty
+    texts have none, repeated rows a row each."""
     ranks = public_tokenizers.path(RANKS)
     decoded = bpe.encode_documents(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

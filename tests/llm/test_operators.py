@@ -307,6 +307,113 @@ def test_language_odd_rows(odd, empty, documents):
     assert langid.identify(texts.limit(0), model).collect() == []
 
 
+def brute_language(model, text):
+    """The model's answer by plain loops over the letters of a whole text."""
+    points = [32]
+    for c in text.lower():
+        c = ord(c) if c.isalpha() else 32
+        if c != 32 or points[-1] != 32:
+            points.append(c)
+    if points[-1] != 32:
+        points.append(32)
+    total, n, low = [0.0] * len(model.languages), 0, (1 << 32) - 1
+    for size in langid.GRAMS:
+        for at in range(len(points) - size + 1):
+            value = 0
+            for k in range(size):
+                value = (value ^ points[at + k]) * int(langid._MULTIPLIERS[k]) & low
+                value ^= value >> 13
+            row = model.table[(value * 0x2C1B3C6D & low) >> (32 - langid.BUCKET_BITS)]
+            total, n = [a + float(b) for a, b in zip(total, row, strict=True)], n + 1
+    odds = [np.exp((a / n + b) / model.temperature) for a, b in zip(total, model.bias, strict=True)]
+    return max(zip((x / sum(odds) for x in odds), model.languages, strict=True))
+
+
+@pytest.mark.parametrize("piece", [7, 1 << 16])
+def test_language_against_brute_force(spark, documents, odd, monkeypatch, piece):
+    """Whole texts, whatever the pieces that they are read in."""
+    model = langid.train_language_model(documents)
+    monkeypatch.setattr(langid, "PIECE", piece)
+    texts = [r["text"] for r in documents.limit(25).collect()] + [r["text"] for r in odd.collect()]
+    for text in texts:
+        text = text and text[:3000]
+        found, score, _ = model.predict(text)
+        if not any(map(str.isalpha, text or "")):
+            assert (found, score) == ("und", 0.0)
+            continue
+        expected, language = brute_language(model, text)
+        assert found == language and abs(score - expected) < 1e-4
+
+
+def test_training_parts_hold_whole_texts(spark):
+    """Each character of a long text is in one part, and any number of labels will do."""
+    text = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" for k in range(5000))
+    rows = spark.createDataFrame([(text, "en", 1), ("ab", "x", 0)], "text string, lang string, fold__ int")
+    parts = langid.training_parts(rows, "text", "lang").collect()
+    grams = sum(int(np.frombuffer(r["counts"], "<u4").sum()) for r in parts if r["label"] == "en")
+    whole = int(langid.bag_of(text)[1].sum())
+    assert len(parts) == langid.PARTS + 1 and abs(grams - whole) <= langid.PARTS * 40
+    many = spark.createDataFrame([(k, f"text number {k}", f"label {k}") for k in range(3000)], "doc_id long, text string, lang string")
+    assert len(langid.train_language_model(many, max_rows=100).languages) < 300
+
+
+def test_toxicity_against_brute_force(spark, documents, odd):
+    """Matches by one regex a term over the folded text, exceptions one by one, trained model."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    trained = toxicity.train_toxicity(documents, labels)
+    model = toxicity.ToxicityModel(trained.weights | {"clown": 1.0, "trash": 0.5, "pathetic*": 2.0}, trained.curve)
+    texts = [r["text"] for r in documents.collect()] + [r["text"] for r in odd.collect()]
+    texts += ["A cl0wn, class clown, clown car; TRASH can trash. pathetical pathetic fallacy $tupid " * 30, "clown" * 50]
+    for text in texts:
+        folded = toxicity.fold((text or "")[:20_000])
+        spared = [(m.start(), m.end()) for p in model.exceptions for m in re.finditer(rf"(?=(?<![^\W_])({re.escape(p)})(?![^\W_]))", folded) for m in [re.compile(re.escape(p)).match(folded, m.start())]]
+        found = {}
+        for term, weight in model.weights.items():
+            stem = term.endswith("*")
+            tail = "" if stem else r"(?![^\W_])"
+            for m in re.finditer(rf"(?<![^\W_]){re.escape(term.removesuffix('*'))}{tail}", folded):
+                if weight > found.get(m.start(), (0, -1.0))[1]:
+                    found[m.start()] = m.end(), weight
+        expected = [(a, b, w) for a, (b, w) in sorted(found.items()) if not any(x <= a and b <= y for x, y in spared)]
+        assert sorted(w for *_, w in model.matches(folded)) == sorted(w for *_, w in expected)
+    scored = toxicity.score_documents(odd, model)
+    assert [r["score"] for r in scored.collect()] == [model.score(r["text"]) for r in odd.collect()]
+
+
+def test_resolve_against_brute_force():
+    rng = np.random.default_rng(8)
+    d = license_scan.Detection
+    for _ in range(60):
+        found = [d(f"l{rng.integers(4)}", int(a), int(a + rng.integers(0, 9)), int(rng.integers(3)), 1.0, False) for a in rng.integers(0, 40, 50)]
+        better = sorted(set(found), key=lambda x: (x.priority, x.first - x.last, x.first, x.label))
+        kept = []
+        for x in better:
+            if not any(k.first <= x.first and x.last <= k.last for k in kept):
+                kept.append(x)
+        assert license_scan.resolve(found) == sorted(kept, key=lambda x: (x.first, x.last))
+
+
+def test_license_labels_against_brute_force(spark):
+    """Every rule without its prefilter, resolved pair by pair, on texts that name licenses."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r["text"] and "licen" in r["text"].lower()}
+    got = {r["doc_id"]: r for r in queries.op5_license_scan(spark, "/root/testdata/sf0.001").collect()}
+    assert texts
+    for doc_id, text in texts.items():
+        words, _ = license_scan.normalized(text)
+        every = set()
+        for rule in license_scan.rules():
+            for m in re.finditer(rf"(?<![^ ])(?=({rule.pattern})(?![^ ]))".encode(), words):
+                first = words[: m.start()].count(b" ")
+                every.add((rule.priority, -m.group(1).count(b" "), first, rule.label, first + m.group(1).count(b" "), rule.weight, license_scan.BASE.get(rule.pattern) == rule.label))
+        kept = []
+        for x in sorted(every):
+            if not any(k[2] <= x[2] and x[4] <= k[4] for k in kept):
+                kept.append(x)
+        base = {x[3] for x in every if x[6]}
+        assert got[doc_id]["labels"] == ",".join(sorted({x[3] for x in kept} | base))
+        assert got[doc_id]["score"] == max([x[5] for x in kept] + [x[5] for x in every if x[6]], default=0.0)
+
+
 def test_folding():
     assert toxicity.fold("1D10T іdіоt ｉｄｉｏｔ ïdïót id!ot $cum") == "idiot idiot idiot idiot idiot scum"
     assert toxicity.fold("the$$$ end!!") == "the$$$ end!!"
