@@ -399,9 +399,13 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     count(_nearest(met))
     leads = rooted(first.groupBy("key").agg(F.min("node").alias("lead")), "lead", "lead_root").select("key", "lead_root")
     members = rooted(rows, "node", "root").join(leads, "key")
-    # of two members that both lie outside the lead's group, the smaller meets the larger
+    # a pair is made by the first block that both share; of two members that both lie outside
+    # the lead's group, the smaller meets the larger
+    keys = near_rows.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    members = members.join(keys, "node")
     once = (F.col("root") != F.col("root_h")) & ((F.col("root") == F.col("lead_root")) | (F.col("node") < F.col("node_h")))
-    met = staged(_meet(members, members.where("root != lead_root").drop("lead_root"), once).distinct(), "met")
+    once = once & (F.array_min(F.array_intersect("keys", "keys_h")) == F.col("key"))
+    met = staged(_meet(members, members.where("root != lead_root").drop("lead_root"), once), "met")
     count(_nearest(met))
     pairs = met.select(F.least("node", "node_h").alias("a"), F.greatest("node", "node_h").alias("b")).distinct()
     apart = rooted(rooted(pairs, "a", "root_a"), "b", "root_b").where("root_a != root_b").select("a", "b")
