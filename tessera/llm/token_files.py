@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -78,8 +77,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = special_as_text
-        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)), key=len, reverse=True)
-        self.holds_added = re.compile("|".join(map(re.escape, added))).search if added else None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)]
         split = self.tokenizer.pre_tokenizer
         by_word = pattern and self.tokenizer.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space
         self.find = splitter(pattern) if by_word else None
@@ -96,7 +94,7 @@ class WordEncoder:
         return [self._by_word(t) for t in texts]
 
     def _by_word(self, text: str) -> np.ndarray:
-        if self.holds_added and self.holds_added(text):
+        if any(token in text for token in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.find(text))), np.uint32)
 
