@@ -29,6 +29,19 @@ def import_sources(spark: SparkSession, root: str, *, cordis_archives: Sequence[
     aside = f"{root.rstrip('/')}/.aside-{uuid.uuid4().hex}"
     written: dict[str, str | None] = {}
     counted: list[dict] = []
+    try:
+        _import_aside(spark, aside, written, counted, cordis_archives, community_dump, openaire_tar, ror_zip, community_parent_slug)
+    except BaseException:
+        tables.swap(spark, aside, root, {})
+        raise
+    tables.swap(spark, aside, root, written)
+    if counters is not None:
+        counters += counted
+    return {name: tables.load(spark, root, name).count() for name in written}
+
+
+def _import_aside(spark: SparkSession, aside: str, written: dict[str, str | None], counted: list[dict], cordis_archives: Sequence[tuple[str, str]], community_dump: str | None, openaire_tar: str | None, ror_zip: str | None, community_parent_slug: str) -> None:
+    """Write and check the tables of all dumps in a folder; written and counted take up what is done."""
 
     def keep(name: str, df: DataFrame, by: str | None = None) -> int:
         tables.save(df, aside, name, by)
@@ -52,10 +65,6 @@ def import_sources(spark: SparkSession, root: str, *, cordis_archives: Sequence[
         counted.append({"path": openaire_tar, "organizations": keep("openaire_orgs", organizations.read_records(spark, openaire_tar))})
     if ror_zip:
         counted.append({"path": ror_zip, "organizations": keep("ror_orgs", organizations.read_registry(spark, ror_zip))})
-    tables.swap(spark, aside, root, written)
-    if counters is not None:
-        counters += counted
-    return {name: tables.load(spark, root, name).count() for name in written}
 
 
 def raw_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@
 import gzip
 import io
 import json
+import os
 import tarfile
 import zipfile
 
@@ -170,6 +171,7 @@ def test_a_failing_import_changes_nothing(spark, dumps, tmp_path):
     with pytest.raises(Exception, match="zip"):
         pipeline.import_sources(spark, root, cordis_archives=[("HE", f"{dumps}/fp7.zip")], ror_zip=str(tmp_path / "bad.zip"))
     assert before == {name: sorted(map(str, rows(spark, root, name))) for name in before}
+    assert not [f for f in os.listdir(root) if f.startswith(".aside")]
 
 
 @pytest.mark.parametrize("whole", [1 << 30, 0])
