@@ -136,6 +136,36 @@ def test_bounds_lose_no_pair(spark):
     assert kept <= every and all(p in kept for p in every if best(*p) >= 95)
 
 
+def test_best_unique_match_against_brute_force(spark):
+    """All pairs that share a country and a block, scored one by one; a lead of five points."""
+    from tessera.operators import fuzzy
+
+    rng = random.Random(9)
+    words = ["university", "institute", "alpha", "alphas", "northern", "center", "centre", "labs", "of", "x1"]
+    name = lambda: " ".join(rng.choices(words, k=rng.randint(2, 5)))
+    targets = [(c, name(), f"r{k}") for k, c in enumerate(rng.choices("AB", k=60))]
+    records = [(f"o{k}", 0, n, n, rng.choice("AB")) for k in range(60) for n in [name()]]
+    left = spark.createDataFrame(records, "record string, position int, raw string, normalized string, country string")
+    right = spark.createDataFrame([(*t, t[1]) for t in targets], "country string, target_normalized string, ror_id string, target_name string")
+    scores = lambda a, b: (similarity.ratio(a, b), similarity.token_sort_ratio(a, b), similarity.token_set_ratio(a, b))
+    keys = lambda n: {n.replace(" ", "")[:6], "f" + n.split()[0][:4], "l" + n.split()[-1][:4]}
+    near = {(n, c, t) for *_, n, c in records for d, t, _ in targets if c == d and keys(n) & keys(t) and max(scores(n, t)) >= 95}
+    every = 1000  # more than a name has targets, so that no scorer leaves one out
+    found = fuzzy.scored_pairs(fuzzy.blocked_pairs(left, right, 95.0), limit=every)
+    assert near and {tuple(r)[:3] for r in found.collect()} == near
+    expected = {}
+    for record, _, _, n, c in records:
+        best = {}
+        for d, t, ror in targets:
+            if (n, c, t) in near and d == c:
+                best[ror] = max(best.get(ror, 0), round(max(scores(n, t)), 1))
+        ranked = sorted(best.values(), reverse=True)
+        if ranked and (len(ranked) == 1 or ranked[0] - ranked[1] >= 5):
+            expected[record] = max(best, key=best.get)
+    got = {r["record"]: r["ror_id"] for r in fuzzy.best_unique_match(left, right, limit=every).collect()}
+    assert got == expected and got
+
+
 def test_round_tenth(spark):
     rows = spark.createDataFrame([(0.15,), (62.25,), (None,)], "x double").select(similarity.round_tenth("x").alias("y")).collect()
     assert [r["y"] for r in rows] == [0.1, 62.2, None]
