@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import json_value
 from tessera.operators.publish import last_override
+from tessera.operators.select import unbroadcast
 
 #: Columns and order of each export; arrays and structs become JSON text.
 EXPORT_ORDER = {
@@ -59,7 +60,7 @@ def swap(spark: SparkSession, aside: str, root: str, names: Mapping[str, str | N
 
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    return unbroadcast(spark.read.parquet(f"{root}/{name}"))
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
