@@ -158,11 +158,12 @@ def resolved_types(awards: DataFrame, participants: DataFrame, ror: DataFrame) -
     """(ror_type, occurrences, unique_pic): participants of active awards, once a community
     that lists the award, and distinct codes."""
     kind = ror.select("ror_id", F.coalesce(F.get("types", F.lit(0)), F.lit("Unknown")).alias("ror_type"))
-    active = awards.where("not is_deleted").select("award_number")
-    rows = participants.where("ror_id != ''").join(kind, "ror_id", "left").withColumn("ror_type", F.coalesce("ror_type", F.lit("Unknown")))
-    occurrences = rows.join(active, "award_number").groupBy("ror_type").agg(F.count("*").alias("occurrences"))
-    unique = rows.join(active.distinct(), "award_number", "left_semi").select("pic", "ror_id", "ror_type").distinct().groupBy("ror_type").agg(F.count("*").alias("unique_pic"))
-    return occurrences.join(unique, "ror_type", "full_outer").fillna(0).orderBy(F.desc("occurrences"), "ror_type")
+    # an award's communities are counted before its participants meet them
+    listed = awards.where("not is_deleted").groupBy("award_number").agg(F.count("*").alias("n__"))
+    rows = participants.where("ror_id != ''").join(listed, "award_number").groupBy("pic", "ror_id").agg(F.sum("n__").alias("n__"))
+    typed = rows.join(kind, "ror_id", "left").withColumn("ror_type", F.coalesce("ror_type", F.lit("Unknown")))
+    once = typed.groupBy("pic", "ror_id", "ror_type").agg(F.sum("n__").alias("n__"))
+    return once.groupBy("ror_type").agg(F.sum("n__").alias("occurrences"), F.count("*").alias("unique_pic")).orderBy(F.desc("occurrences"), "ror_type")
 
 
 def likely_wrong(suspicious: DataFrame, ror: DataFrame) -> DataFrame:

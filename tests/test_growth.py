@@ -33,3 +33,10 @@ def test_stored_tables_are_not_broadcast_by_their_files(spark):
             assert "BroadcastHashJoin" not in QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString(), name
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_types_count_communities_before_participants(spark):
+    ror = spark.createDataFrame([("r1", ["company"])], "ror_id string, types array<string>")
+    rows, most = run(spark, reports.resolved_types(awards_of(spark, 200, 1), people_of(spark, 1, 200), ror))
+    assert [tuple(r) for r in rows] == [("company", 200 * 150, 150)]
+    assert most <= 400
