@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_name, percent, round_percent, text_or_empty
@@ -60,15 +60,24 @@ def source_bucket(first: Column, last: Column) -> Column:
 def community_coverage(awards: DataFrame, participants: DataFrame) -> DataFrame:
     """One row an active community, communities without participants included.
 
-    Codes are gathered by award, then by community, so that each is counted once without a
-    distinct count of every condition.
+    A code of an award counts in every community that lists the award. Rather than a row each,
+    64 communities are bits of one number, and a code gathers its awards' bits.
     """
     active = awards.where("not is_deleted").select("slug", "award_number").distinct()
-    by_award = _people(participants, ["award_number"])
-    merged = [F.max(c).alias(c) for c in (*_RESOLVED, "last_source")]
-    people = active.join(by_award, "award_number").groupBy("slug", "pic").agg(*merged, F.min("first_source").alias("first_source"))
-    bucket = source_bucket(F.min("first_source"), F.max("last_source"))
     listed = active.groupBy("slug").agg(F.count("*").alias("award_count"))
+    place = F.row_number().over(Window.partitionBy("part__").orderBy("slug")) - 1
+    placed = active.select("slug").distinct().withColumn("part__", F.pmod(F.xxhash64("slug"), F.lit(4))).withColumn("place__", place)
+    placed = placed.select("slug", (F.col("part__") + 4 * F.expr("place__ div 64")).alias("word__"), (F.col("place__") % 64).alias("bit__"))
+    masks = active.join(placed, "slug").groupBy("award_number", "word__").agg(F.bit_or(F.expr("shiftleft(1L, bit__)")).alias("mask__"))
+    has, mask = F.col("ror_id") != "", F.col("mask__")
+    holds = {"all__": F.lit(True), "high": has & (F.col("resolution_confidence") == "high"), "high_medium": has & accepted(F.col("resolution_confidence")), "any": has}
+    rows = participants.where("pic != ''").select("award_number", "pic", "source", *[c.alias(n) for n, c in holds.items()]).join(masks, "award_number")
+    packed = rows.groupBy("pic", "source", "word__").agg(*[F.bit_or(F.when(F.col(n), mask).otherwise(F.lit(0).cast("long"))).alias(n) for n in holds])
+    bit = lambda name: F.getbit(F.col(name), F.col("bit__"))
+    people = packed.join(placed, "word__").where(bit("all__") == 1).groupBy("slug", "pic").agg(
+        *[F.max(bit(c)).alias(c) for c in _RESOLVED], F.min("source").alias("first_source"), F.max("source").alias("last_source")
+    )
+    bucket = source_bucket(F.min("first_source"), F.max("last_source"))
     counted = people.groupBy("slug").agg(*_covered(), bucket.alias("source_bucket"))
     return listed.join(counted, "slug", "left").fillna(0, ["participants", *_RESOLVED]).fillna("none", ["source_bucket"])
 
