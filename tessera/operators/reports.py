@@ -180,7 +180,10 @@ def likely_wrong(suspicious: DataFrame, ror: DataFrame) -> DataFrame:
     entry's display name is the label."""
     named = ror.select(F.explode("normalized_names").alias("normalized_name"), F.struct(F.col("ror_id").alias("id"), "display_name", "country_code").alias("other"))
     fit = suspicious.where(normalize_name(F.col("ror_display_name")) != F.col("normalized_name"))
-    found = fit.join(named, "normalized_name").where("other.id != ror_id").groupBy(*suspicious.columns).agg(F.array_sort(F.collect_list("other")).alias("others"))
+    # the entries of a name that some label has are gathered once, not once a label
+    listed = named.join(fit.select("normalized_name"), "normalized_name", "left_semi").groupBy("normalized_name").agg(F.array_sort(F.collect_list("other")).alias("listed"))
+    listed = unbroadcast(listed)
+    found = fit.join(listed, "normalized_name").withColumn("others", F.filter("listed", lambda o: o["id"] != F.col("ror_id"))).where(F.size("others") > 0)
     shown = F.transform("others", lambda o: F.concat(o["id"], F.lit(" ("), o["display_name"], F.lit(", "), o["country_code"], F.lit(")")))
     return found.select(*suspicious.columns, F.size("others").alias("other_ror_count"), F.array_join(shown, " | ").alias("other_rors"))
 
