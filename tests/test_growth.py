@@ -26,13 +26,14 @@ def run(spark, df):
     return rows, max(joins)
 
 
-def test_stored_tables_are_not_broadcast_by_their_files(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        for name in ("openaire_exact_candidates", "community_observations", "label_review_summary", "likely_wrong_labels"):
-            assert "BroadcastHashJoin" not in QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString(), name
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
+def awards_of(spark, communities, awards):
+    return spark.range(communities * awards).select(F.expr(f"concat('s', id % {communities})").alias("slug"), F.expr(f"concat('a', id div {communities})").alias("award_number"), F.lit(False).alias("is_deleted"))
+
+
+def people_of(spark, awards, codes):
+    confidence = F.expr(f"element_at(array('high', 'medium', 'review', ''), cast(id % {codes} % 4 as int) + 1)")
+    rows = spark.range(awards * codes).select(F.expr(f"concat('a', id div {codes})").alias("award_number"), F.expr(f"concat('p', id % {codes})").alias("pic"), F.expr(f"if(id div {codes} = 0, 'cordis', 'community')").alias("source"), confidence.alias("resolution_confidence"))
+    return rows.withColumn("ror_id", F.when(F.col("resolution_confidence") != "", F.lit("r1")).otherwise(""))
 
 
 def test_types_count_communities_before_participants(spark):
@@ -40,3 +41,51 @@ def test_types_count_communities_before_participants(spark):
     rows, most = run(spark, reports.resolved_types(awards_of(spark, 200, 1), people_of(spark, 1, 200), ror))
     assert [tuple(r) for r in rows] == [("company", 200 * 150, 150)]
     assert most <= 400
+
+
+def test_coverage_packs_communities(spark):
+    awards = awards_of(spark, 100, 20).where("not (slug = 's7' and award_number = 'a0')")
+    rows, most = run(spark, reports.community_coverage(awards.unionByName(spark.createDataFrame([("s100", "none", False)], awards.schema)), people_of(spark, 20, 50)))
+    found = {r["slug"]: tuple(r[c] for c in ("award_count", "participants", "high", "high_medium", "any", "source_bucket")) for r in rows}
+    expected = {f"s{k}": (20, 50, 13, 26, 38, "mixed") for k in range(100)} | {"s7": (19, 50, 13, 26, 38, "community"), "s100": (1, 0, 0, 0, 0, "none")}
+    assert found == expected
+    # a row each would make 100,000
+    assert most <= 20_000
+
+
+def test_shared_names_meet_two_entries(spark):
+    entries = [(f"r{k}", "x", ["institute of shared names"]) for k in range(60)] + [("u", "x", ["laboratory of single things", "single laboratory things"])]
+    targets = fuzzy.fuzzy_targets(spark.createDataFrame(entries, "ror_id string, country_code string, names array<string>"))
+    names = [(f"o{k}", 0, "Institute of shared names", "institute of shared names", "x") for k in range(60)]
+    names += [("v", 0, "Laboratory of single things", "laboratory of single things", "x"), ("v", 1, "laboratory single of things", "laboratory single of things", "x")]
+    names += [("w", 0, "Laboratory of single things", "laboratory of single things", "x"), ("w", 1, "Institute of shared names", "institute of shared names", "x")]
+    given = spark.createDataFrame(names, "record string, position int, raw string, normalized string, country string")
+    rows, most = run(spark, fuzzy.best_unique_match(given, targets))
+    assert [(r["record"], r["ror_id"], r["fuzzy"]["score"], r["fuzzy"]["matched_names"]) for r in rows] == [("v", "u", 100.0, ["Laboratory of single things", "laboratory single of things"])]
+    # a row a record and entry would make 3,600
+    assert most <= 400
+
+
+def test_labels_of_a_name_gather_its_entries_once(spark):
+    ror = spark.createDataFrame([(f"r{k:02}", "Shared", "x", ["shared"]) for k in range(50)], "ror_id string, display_name string, country_code string, normalized_names array<string>")
+    labels = spark.createDataFrame([("s", k, "Shared", "shared", "r00" if k == 0 else "q", "Other", "why") for k in range(50)], "slug string, org_order int, name string, normalized_name string, ror_id string, ror_display_name string, reason string")
+    rows, most = run(spark, reports.likely_wrong(labels, ror))
+    assert {r["org_order"]: r["other_ror_count"] for r in rows} == {0: 49} | dict.fromkeys(range(1, 50), 50)
+    assert most <= 100
+
+
+def test_links_of_a_code_are_no_array(spark):
+    counted = spark.createDataFrame([("p1", "r1"), ("p1", "r2"), ("p2", "r1"), ("p3", None)], "pic string, ror_id string")
+    direct = spark.createDataFrame([("p1", "r1"), ("p1", "r9"), ("p3", "r1")], "pic string, ror_id string")
+    out = community.against_direct(counted, direct)
+    assert {(r[0], r[1]): (r[2], r[3]) for r in out.collect()} == {("p1", "r1"): (1, 0), ("p1", "r2"): (0, 1), ("p2", "r1"): (0, 0), ("p3", None): (0, 0)}
+    assert "collect_set" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stored_tables_are_not_broadcast_by_their_files(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("openaire_exact_candidates", "community_observations", "label_review_summary", "likely_wrong_labels"):
+            assert "BroadcastHashJoin" not in QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString(), name
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
