@@ -52,3 +52,14 @@ def best_participants(awards: DataFrame, participants: DataFrame, community_part
     out = official.unionByName(pooled)
     joined = out.join(known, "pic", "left")
     return joined.select(*out.columns, *[F.coalesce(F.col(c), blank).alias(c) for c in ("ror_id", "resolution_confidence", "resolution_source")])
+
+
+def best_codes(awards: DataFrame, participants: DataFrame, community_participants: DataFrame, resolutions: DataFrame) -> DataFrame:
+    """(award_number, pic, source) of award_participants_best, each once, with the code's
+    resolution or '': all that coverage counts. Names and orders aren't chosen for it."""
+    chosen = awards.select("award_number", "source", "source_origin")
+    official = chosen.where("source = 'cordis'").join(participants.select("award_number", F.col("origin").alias("source_origin"), "pic"), ["award_number", "source_origin"])
+    pooled = chosen.where("source = 'community'").join(community_participants.select("award_number", "pic"), "award_number")
+    out = official.select("award_number", "pic", "source").unionByName(pooled.select("award_number", "pic", "source")).distinct()
+    known = resolutions.select("pic", "ror_id", F.col("confidence").alias("resolution_confidence"))
+    return out.join(known, "pic", "left").select(*out.columns, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("ror_id", "resolution_confidence")])

@@ -108,7 +108,7 @@ def coverage_summary(community: DataFrame) -> DataFrame:
 
 
 def labelled(spark, labels: Sequence[str], name: str) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(labels)), f"position int, {name} string")
+    return spark.range(len(labels)).select(F.col("id").cast("int").alias("position"), F.get(F.array(*map(F.lit, labels)), F.col("id")).alias(name))
 
 
 def coverage_distribution(community: DataFrame, column: str) -> DataFrame:

@@ -314,14 +314,19 @@ def _best(spark, d):
     return award_participants_best(spark, d)
 
 
+def _codes(spark, d):
+    best = awards.best_awards(t.projects(spark, d), t.community_awards(spark, d))
+    return awards.best_codes(best, t.participants(spark, d), t.community_participants(spark, d), t.resolutions(spark, d))
+
+
 @query
 def community_coverage(spark, d):
-    return reports.community_coverage(t.community_awards(spark, d), _best(spark, d))
+    return reports.community_coverage(t.community_awards(spark, d), _codes(spark, d))
 
 
 @query
 def award_coverage(spark, d):
-    return reports.award_coverage(t.community_awards(spark, d), _best(spark, d))
+    return reports.award_coverage(t.community_awards(spark, d), _codes(spark, d))
 
 
 @query

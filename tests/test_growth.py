@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.operators import community, fuzzy, reports
+from tessera.operators import awards, community, fuzzy, reports
 from tessera.plans.bindings import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -89,3 +89,20 @@ def test_stored_tables_are_not_broadcast_by_their_files(spark):
             assert "BroadcastHashJoin" not in QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString(), name
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_coverage_orders_no_participants(spark):
+    for name in ("community_coverage", "award_coverage", "size_bands", "source_bucket", "coverage_medians", "coverage_bins"):
+        plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+        assert "participant_name" not in plan, name
+
+
+def test_codes_are_those_of_the_best_participants(spark):
+    given = spark.createDataFrame([("a1", "cordis", "HE"), ("a2", "community", "s1")], "award_number string, source string, source_origin string")
+    official = spark.createDataFrame([("a1", "HE", k, "participant", p, "n", "x", "") for k, p in enumerate(("p1", "p1", "p2", "", None))] + [("a1", "FP7", 1, "participant", "p9", "n", "x", "")], "award_number string, origin string, participant_order int, participant_type string, pic string, legal_name string, country_code string, website_url string")
+    pooled = spark.createDataFrame([("a2", "p1", "N", 1), ("a2", "p1", "M", 2), ("a2", "p3", "N", 3), ("a2", None, "N", 4), ("a1", "p7", "N", 1)], "award_number string, pic string, participant_name string, participant_order int")
+    known = spark.createDataFrame([("p1", "r1", "high", "s"), ("p3", "r3", "review", "s")], "pic string, ror_id string, confidence string, source string")
+    found = awards.best_codes(given, official, pooled, known)
+    best = awards.best_participants(given, official, pooled, known).select(found.columns)
+    order = lambda rows: sorted(map(str, rows))
+    assert order(found.collect()) == order(best.distinct().collect())
