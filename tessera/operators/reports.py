@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_name, percent, round_percent, text_or_empty
-from tessera.operators.select import most_frequent, unbroadcast
+from tessera.operators.select import unbroadcast
 
 # Bands of the reports.
 COVERAGE_BINS = ("0%", ">0-20%", ">20-40%", ">40-60%", ">60-80%", ">80-<100%", "100%")
@@ -229,17 +229,25 @@ def review_queue(participants: DataFrame, resolutions: DataFrame, signals: DataF
     """One row a code without an accepted resolution, most frequent first, with a count by
     origin, its most frequent descriptions and what is known of it."""
     done = resolutions.where(accepted(F.col("confidence"))).select("pic")
-    rows = participants.where("pic != ''").join(done, "pic", "left_anti").withColumn("seen__", F.struct(*seen))
+    described = (("country_code", "country"), ("short_name", "short_name"), ("legal_name", "legal_name"), ("website_url", "website_url"))
+    rows = participants.where("pic != ''").select("pic", "origin", F.struct(*seen).alias("seen__"), *[c for c, _ in described]).join(done, "pic", "left_anti")
     if origins is None:
         origins = sorted(r[0] for r in rows.select("origin").distinct().collect())
-    counts = rows.groupBy("pic").agg(F.count("*").alias("count"), *[F.count_if(F.col("origin") == o).alias(f"count_{o.lower()}") for o in origins])
-    out = counts
-    for value, name in (("country_code", "country"), ("short_name", "short_name"), ("legal_name", "legal_name"), ("website_url", "website_url")):
-        out = out.join(most_frequent(rows, ["pic"], value, "seen__", name), "pic", "left")
+    # a row each of an appearance's origin and descriptions, so that participants are made once
+    pairs = F.array(*[F.struct(F.lit(name).alias("kind__"), F.col(c).alias("value__")) for c, name in (("origin", ""), *described)])
+    tall = rows.select("pic", "seen__", F.inline(pairs)).where("kind__ = '' or value__ != ''")
+    counted = tall.groupBy("pic", "kind__", "value__").agg(F.count("*").alias("n__"), F.min("seen__").alias("seen__"))
+    of = lambda name, c: F.when(F.col("kind__") == name, c)
+    total = lambda c: F.coalesce(F.sum(of("", c)), F.lit(0))
+    out = counted.groupBy("pic").agg(
+        total(F.col("n__")).alias("count"),
+        *[total(F.when(F.col("value__") == o, F.col("n__"))).alias(f"count_{o.lower()}") for o in origins],
+        *[F.min_by("value__", of(name, F.struct(-F.col("n__"), F.col("seen__"), F.col("value__")))).alias(name) for _, name in described],
+    )
     open_rows = resolutions.where(~accepted(F.col("confidence"))).select("pic", F.col("ror_id").alias("pipeline_ror"), F.col("confidence").alias("pipeline_confidence"), F.col("source").alias("pipeline_source"))
     out = out.join(signals, "pic", "left").join(open_rows, "pic", "left")
-    described = ["country", "short_name", "legal_name", "website_url", "openaire_alt_names", "openaire_external_ids", "pipeline_ror", "pipeline_confidence", "pipeline_source"]
-    return out.select("pic", "count", *[f"count_{o.lower()}" for o in origins], *[text_or_empty(F.col(c)).alias(c) for c in described])
+    texts = [*[name for _, name in described], "openaire_alt_names", "openaire_external_ids", "pipeline_ror", "pipeline_confidence", "pipeline_source"]
+    return out.select("pic", "count", *[f"count_{o.lower()}" for o in origins], *[text_or_empty(F.col(c)).alias(c) for c in texts])
 
 
 def queue_order() -> list[Column]:

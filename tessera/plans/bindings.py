@@ -375,7 +375,7 @@ def openaire_signals(spark, d):
 
 
 def _queue(spark, d):
-    return reports.review_queue(t.participants(spark, d), t.resolutions(spark, d), reports.openaire_signals(t.orgs(spark, d)), origins=sorted(labels.ORIGINS))
+    return reports.review_queue(t.participants(spark, d, keep=t.SEEN[2:]), t.resolutions(spark, d), reports.openaire_signals(t.orgs(spark, d)), t.SEEN, sorted(labels.ORIGINS))
 
 
 @query

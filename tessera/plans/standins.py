@@ -8,6 +8,7 @@ line items are participants. SQL[name] is the same table in SQL.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -101,14 +102,19 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 _LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
-def participants(spark: SparkSession, d: str) -> DataFrame:
+#: The order of participants, as participant_order numbers them: without the numbers, nothing is sorted for it.
+SEEN = ("award_number", "origin", *_LINE_ORDER)
+
+
+def participants(spark: SparkSession, d: str, keep: Sequence[str] = ()) -> DataFrame:
+    """keep: columns of SEEN beside the table's own."""
     l = _lines(spark, d).withColumn("award_number", F.expr("concat('a', l_orderkey % 3000)")).withColumn("origin", F.expr("case l_returnflag when 'A' then 'HE' when 'N' then 'H2020' else 'FP7' end"))
     place = F.row_number().over(Window.partitionBy("award_number", "origin").orderBy(*_LINE_ORDER))
     l = l.withColumn("participant_order", place).withColumn("legal_name", F.expr("case when l_linenumber % 3 = 0 then concat(p_size, ' ', p_brand, ' ', p_name) else upper(display) end"))
     return l.select(
         "award_number", "origin", "participant_order", F.expr("case when participant_order = 1 then 'coordinator' else 'participant' end").alias("participant_type"), F.expr("concat('p', l_partkey % 5000)").alias("pic"),
         "legal_name", norm(F.col("legal_name")).alias("normalized_legal_name"), F.expr("case when l_linenumber % 2 = 0 then p_brand else '' end").alias("short_name"), F.col("p_type").alias("country_code"),
-        F.expr("case when l_suppkey % 2 = 0 then concat('https://w', l_suppkey, '.example.org') else '' end").alias("website_url"), F.lit("").alias("vat_number"), F.lit("").alias("rcn"),
+        F.expr("case when l_suppkey % 2 = 0 then concat('https://w', l_suppkey, '.example.org') else '' end").alias("website_url"), F.lit("").alias("vat_number"), F.lit("").alias("rcn"), *keep,
     )
 
 

@@ -91,6 +91,12 @@ def test_stored_tables_are_not_broadcast_by_their_files(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def scans(spark, name, table):
+    """How often a query's plan reads a table."""
+    leaves = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(table in leaves.apply(at).output().mkString(" ") for at in range(leaves.size()))
+
+
 def test_coverage_orders_no_participants(spark):
     for name in ("community_coverage", "award_coverage", "size_bands", "source_bucket", "coverage_medians", "coverage_bins"):
         plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
@@ -106,3 +112,16 @@ def test_codes_are_those_of_the_best_participants(spark):
     best = awards.best_participants(given, official, pooled, known).select(found.columns)
     order = lambda rows: sorted(map(str, rows))
     assert order(found.collect()) == order(best.distinct().collect())
+
+
+def test_queue_makes_participants_once(spark):
+    assert scans(spark, "review_queue", "l_orderkey") == 1
+
+
+def test_queue_takes_the_first_seen_of_equals(spark):
+    rows = [("p1", "HE", "a2", 1, "x", "S", "late", ""), ("p1", "HE", "a1", 2, "y", "", "early", "w2"), ("p1", "FP7", "a1", 3, "y", None, "late", "w1"), ("p1", "FP7", "a1", 1, "x", "", "early", ""), ("p2", "HE", "a1", 9, "x", "", "", ""), ("p3", "HE", "a1", 4, "x", "S", "n", "w"), ("", "HE", "a1", 5, "x", "S", "n", "w")]
+    people = spark.createDataFrame(rows, "pic string, origin string, award_number string, participant_order int, country_code string, short_name string, legal_name string, website_url string")
+    known = spark.createDataFrame([("p3", "r3", "high", "s"), ("p2", "r2", "review", "t")], "pic string, ror_id string, confidence string, source string")
+    signals = spark.createDataFrame([("p1", "names", "ids")], "pic string, openaire_alt_names string, openaire_external_ids string")
+    found = {tuple(r) for r in reports.review_queue(people, known, signals).collect()}
+    assert found == {("p1", 4, 2, 2, "x", "S", "early", "w1", "names", "ids", "", "", ""), ("p2", 1, 0, 1, "x", "", "", "", "", "", "r2", "review", "t")}
