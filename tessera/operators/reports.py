@@ -150,7 +150,8 @@ def coordinator_coverage(awards: DataFrame, participants: DataFrame, community:
     active = awards.where("not is_deleted").select("slug", "award_number").distinct()
     leads = participants.where("source = 'cordis' and participant_type = 'coordinator'").select("award_number", "ror_id", "resolution_confidence")
     has = F.col("ror_id") != ""
-    by_slug = official.join(active, "slug").join(leads, "award_number").groupBy("slug").agg(F.bool_or(has).alias("any_"), F.bool_or(has & accepted(F.col("resolution_confidence"))).alias("hm_"))
+    # of all communities, so that the coverage is computed once
+    by_slug = active.join(leads, "award_number").groupBy("slug").agg(F.bool_or(has).alias("any_"), F.bool_or(has & accepted(F.col("resolution_confidence"))).alias("hm_"))
     joined = official.join(by_slug, "slug", "left")
     rows, hm, some = F.count("any_"), F.count_if("hm_"), F.count_if("any_")
     return joined.agg(

@@ -114,6 +114,11 @@ def test_codes_are_those_of_the_best_participants(spark):
     assert order(found.collect()) == order(best.distinct().collect())
 
 
+def test_coordinators_need_the_coverage_once(spark):
+    # the coverage reads line items for official and for pooled participants, the coordinators once more
+    assert scans(spark, "coordinator_coverage", "l_orderkey") == 3
+
+
 def test_queue_makes_participants_once(spark):
     assert scans(spark, "review_queue", "l_orderkey") == 1
 
